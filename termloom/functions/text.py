@@ -10,14 +10,12 @@ from pyspark.sql import functions as F
 from termloom.functions.stop_words import ENGLISH
 from termloom.profiles import Profile
 
-# What counts as white space.
-# ASCII is what token splitting cuts on; UNICODE is what the deleting cleaner
-# leaves in place. Written out because regex dialects disagree about \s.
+# What counts as white space. Token splitting cuts on ASCII white
+# space; the deleting cleaner leaves Unicode white space and the four separator
+# controls in place.
 ASCII_SPACE = r"\t-\r "
 ASCII_SPACE_CHARS = " \t\n\x0b\f\r"
-UNICODE_SPACE = (
-    r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+UNICODE_SPACE = r"\s\x1c-\x1f"
 
 
 def clean_space(text: Column) -> Column:
@@ -32,7 +30,7 @@ def clean_space(text: Column) -> Column:
 def clean_delete(text: Column) -> Column:
     """Lower case; other characters are deleted, white space stays as it is."""
     return F.regexp_replace(
-        F.lower(F.coalesce(text, F.lit(""))), f"[^a-z0-9{UNICODE_SPACE}]+", ""
+        F.lower(F.coalesce(text, F.lit(""))), f"(?U)[^a-z0-9{UNICODE_SPACE}]+", ""
     )
 
 
@@ -84,7 +82,7 @@ def query_tokens(
     """
     if profile.cleaning != "delete":
         return document_tokens(text, profile, stop_words)
-    words = F.split(clean_delete(text), f"[{UNICODE_SPACE}]+")
+    words = F.split(clean_delete(text), f"(?U)[{UNICODE_SPACE}]+")
     return F.filter(remove_stop_words(words, stop_words), lambda token: token != "")
 
 

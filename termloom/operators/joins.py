@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The most a broadcast side may hold. About 60 MB of key text at the outside.
-BROADCAST_ROWS = 200_000
+# The most a broadcast side may hold.
+BROADCAST_ROWS = 500_000
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
-# A longer key never travels with a broadcast head.
-HEAD_KEY_BYTES = 256
+# A longer key never travels with a broadcast head, so that a head of
+# BROADCAST_ROWS keys stays within about the same number of bytes.
+HEAD_KEY_BYTES = 64
 # Pieces a hot key is cut into when a side is too large to broadcast.
 SALTS = 32
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.weights import cosine, document_tf
-from termloom.operators.queries import SINGLE
+from termloom.operators.queries import COSINE, SINGLE
 from termloom.profiles import Profile
 
 # Scores are rounded before they are ranked: sums of doubles depend on the
@@ -22,7 +22,10 @@ def single_term_scores(matches: DataFrame, profile: Profile) -> DataFrame:
     A weight of 0, of a term every document has, is still a hit.
     """
     return matches.select(
-        "query_id", "mode", "doc_id", F.round(_weight(profile), SCORE_DIGITS).alias("score")
+        "query_id",
+        F.lit(SINGLE).alias("mode"),
+        "doc_id",
+        F.round(_weight(profile), SCORE_DIGITS).alias("score"),
     )
 
 
@@ -35,10 +38,10 @@ def cosine_scores(matches: DataFrame, docs: DataFrame, profile: Profile) -> Data
     part = _weight(profile) * F.col("qweight")
     if profile.repeat_weight:
         part = part * F.col("qtf")
-    parts = matches.select("query_id", "mode", "doc_id", "qnorm", part.alias("part"))
+    parts = matches.select("query_id", "doc_id", "qnorm", part.alias("part"))
     sums = (
         parts.join(docs.select("doc_id", "norm"), "doc_id")
-        .groupBy("query_id", "mode", "doc_id")
+        .groupBy("query_id", "doc_id")
         .agg(
             F.sum("part").alias("dot"),
             F.max("qnorm").alias("qnorm"),
@@ -48,7 +51,10 @@ def cosine_scores(matches: DataFrame, docs: DataFrame, profile: Profile) -> Data
     )
     score = cosine(F.col("dot"), F.col("qnorm"), F.col("norm"))
     return sums.select(
-        "query_id", "mode", "doc_id", F.round(score, SCORE_DIGITS).alias("score")
+        "query_id",
+        F.lit(COSINE).alias("mode"),
+        "doc_id",
+        F.round(score, SCORE_DIGITS).alias("score"),
     )
 
 

@@ -130,15 +130,20 @@ def build_index(
     bag_of_words(tokens).write.parquet(f"{path}/bags")
     bags = spark.read.schema(_bags_schema(doc_id_type)).parquet(f"{path}/bags")
 
-    totals = bags.agg(
-        F.count("*").alias("n_docs"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("n_tokens"),
-        F.coalesce(F.sum("n_terms"), F.lit(0)).alias("n_postings"),
+    by_id = bags.groupBy("doc_id").agg(
+        F.count("*").alias("rows"),
+        F.sum("length").alias("length"),
+        F.sum("n_terms").alias("n_terms"),
+    )
+    totals = by_id.agg(
+        F.sum("rows").alias("n_docs"),
+        F.sum("length").alias("n_tokens"),
+        F.sum("n_terms").alias("n_postings"),
+        (F.max("rows") == 1).alias("unique_ids"),
     ).first()
-    n_docs, n_tokens = totals["n_docs"], totals["n_tokens"]
-    if n_docs == 0:
+    n_docs, n_tokens, unique_ids = totals["n_docs"], totals["n_tokens"], totals["unique_ids"]
+    if not n_docs:
         raise ValueError("no documents to index")
-    unique_ids = bags.groupBy("doc_id").count().filter("count > 1").isEmpty()
 
     if unique_ids:
         counts, n_postings = _explode_bags(bags), totals["n_postings"]
@@ -155,7 +160,7 @@ def build_index(
         "df",
         idf(profile, F.lit(n_docs), F.col("df")).alias("idf"),
         _bucket(F.col("term"), buckets).alias("bucket"),
-    ).repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term").write.partitionBy(
+    ).repartition("bucket").sortWithinPartitions("bucket", "term").write.partitionBy(
         "bucket"
     ).parquet(f"{path}/terms")
     terms = spark.read.schema(TERMS).parquet(f"{path}/terms")
@@ -180,8 +185,8 @@ def build_index(
         unique_ids=unique_ids,
         profile=profile.to_json(),
     )
-    spark.createDataFrame(
-        [tuple(getattr(stats, field.name) for field in STATS)], STATS
+    spark.range(1).select(
+        *[F.lit(getattr(stats, f.name)).cast(f.dataType).alias(f.name) for f in STATS]
     ).coalesce(1).write.parquet(f"{path}/stats")
     return TextIndex(spark, path, profile, stats, doc_id_type)
 

@@ -11,6 +11,7 @@ from termloom.operators.corpus import corpus
 
 TITLES_SCHEMA = "doc_id string, title string"
 QUERIES_SCHEMA = "query_id bigint, query_raw string"
+SPLIT_BYTES = 128 * 1024 * 1024
 # Fixed value: the number of columns of a title file.
 TITLE_COLUMNS = 9
 
@@ -28,7 +29,22 @@ def read_corpus_table(
     spark: SparkSession, path: str, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, text) from Parquet, ids in the type they have."""
-    return corpus(spark.read.parquet(path), doc_id, text)
+    return spread_small(corpus(spark.read.parquet(path), doc_id, text), path)
+
+
+def spread_small(documents: DataFrame, path: str) -> DataFrame:
+    """Deal the rows of a small input out over all cores.
+
+    A file splits no further than its row groups, so a few large ones would
+    keep most cores idle while text is tokenised. An input with at least
+    SPLIT_BYTES for every core has splits enough and is left as it is: the
+    rows dealt out never exceed what the cores would read in one round.
+    """
+    spark = documents.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    size = listing.agg(F.sum("length")).first()[0] or 0
+    return documents.repartition(cores) if size < cores * SPLIT_BYTES else documents
 
 
 def read_titles_tsv(
