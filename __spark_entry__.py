@@ -173,11 +173,9 @@ def _titles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sample_5(spark: SparkSession, sf: str) -> DataFrame:
-    return (
-        _tokens(spark, sf, RAW)
-        .orderBy("doc_id")
-        .limit(5)
-        .select("doc_id", F.array_join("tokens", " ").alias("tokens"))
+    first = _documents(spark, sf).orderBy("doc_id").limit(5)
+    return tokenize_corpus(first, RAW).select(
+        "doc_id", F.array_join("tokens", " ").alias("tokens")
     )
 
 
@@ -197,10 +195,9 @@ def _idf(profile: Profile) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         documents = _documents(spark, sf)
         df = document_frequency(term_frequency(tokenize_corpus(documents, profile)))
-        # One row, so the join adds a constant.
-        with_n = df.crossJoin(F.broadcast(corpus_size(documents)))
-        return with_n.select(
-            "term", "df", F.round(idf(profile, F.col("n_docs"), F.col("df")), DIGITS).alias("idf")
+        n_docs = corpus_size(documents).scalar()
+        return df.select(
+            "term", "df", F.round(idf(profile, n_docs, F.col("df")), DIGITS).alias("idf")
         )
 
     return run

@@ -34,15 +34,25 @@ def clean_delete(text: Column) -> Column:
     )
 
 
-def tokenize(text: Column) -> Column:
-    """Lower-case words cut at single white space characters.
+def clean(text: Column, profile: Profile) -> Column:
+    """Lower-case text as the profile wants it cleaned."""
+    if profile.cleaning == "space":
+        return clean_space(text)
+    if profile.cleaning == "delete":
+        return clean_delete(text)
+    if profile.cleaning == "none":
+        return F.lower(text)
+    raise ValueError(f"unknown cleaning {profile.cleaning!r}")
+
+
+def split_words(cleaned: Column) -> Column:
+    """Words of lower-case text, cut at single white space characters.
 
     Gives what ``pyspark.ml.feature.Tokenizer`` gives: inner and leading empty
     tokens stay, trailing ones go, "" is one empty token, blanks are none.
     """
-    lowered = F.lower(text)
-    body = F.rtrim(lowered, F.lit(ASCII_SPACE_CHARS))
-    blank = (F.length(lowered) > 0) & (body == "")
+    body = F.rtrim(cleaned, F.lit(ASCII_SPACE_CHARS))
+    blank = (F.length(cleaned) > 0) & (body == "")
     return F.when(blank, F.array().cast("array<string>")).otherwise(
         F.split(body, f"[{ASCII_SPACE}]")
     )
@@ -57,32 +67,25 @@ def remove_stop_words(tokens: Column, stop_words: Iterable[str] = ENGLISH) -> Co
 
 
 def document_tokens(
-    text: Column, profile: Profile, stop_words: Iterable[str] = ENGLISH
+    cleaned: Column, profile: Profile, stop_words: Iterable[str] = ENGLISH
 ) -> Column:
-    """Cleaned, split and stopped tokens of a document."""
-    if profile.cleaning == "space":
-        # The cleaned text holds single spaces only, so a plain split will do.
-        tokens = F.split(clean_space(text), " ")
-    elif profile.cleaning == "delete":
-        tokens = tokenize(clean_delete(text))
-    elif profile.cleaning == "none":
-        tokens = tokenize(text)
-    else:
-        raise ValueError(f"unknown cleaning {profile.cleaning!r}")
+    """Tokens of a cleaned document, stop words removed."""
+    # Space-cleaned text holds single spaces only, so a plain split will do.
+    tokens = F.split(cleaned, " ") if profile.cleaning == "space" else split_words(cleaned)
     return remove_stop_words(tokens, stop_words)
 
 
 def query_tokens(
-    text: Column, profile: Profile, stop_words: Iterable[str] = ENGLISH
+    cleaned: Column, profile: Profile, stop_words: Iterable[str] = ENGLISH
 ) -> Column:
-    """Tokens of a query.
+    """Tokens of a cleaned query.
 
     The deleting profile cuts queries at runs of Unicode white space and
     knows no empty tokens; the others treat queries as documents.
     """
     if profile.cleaning != "delete":
-        return document_tokens(text, profile, stop_words)
-    words = F.split(clean_delete(text), f"(?U)[{UNICODE_SPACE}]+")
+        return document_tokens(cleaned, profile, stop_words)
+    words = F.split(cleaned, f"(?U)[{UNICODE_SPACE}]+")
     return F.filter(remove_stop_words(words, stop_words), lambda token: token != "")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import text_chunks
+from termloom.operators.rows import explode_computed
 
 # Fixed value: characters per chunk.
 CHUNK_SIZE = 10_000
@@ -18,10 +19,9 @@ def chunk_texts(documents: DataFrame, size: int = CHUNK_SIZE) -> DataFrame:
     by lines.
     """
     lines = F.regexp_replace(F.regexp_replace("text", r"(\r\n|\n|\r)\z", ""), r"\r\n|\n|\r", " ")
-    return (
-        documents.filter(F.col("text").isNotNull())
-        .select("doc_id", lines.alias("text"))
-        .select("doc_id", F.posexplode(text_chunks(F.col("text"), size)).alias("chunk_id", "chunk"))
+    joined = documents.filter(F.col("text").isNotNull()).select("doc_id", lines.alias("text"))
+    return explode_computed(
+        joined, ["doc_id"], text_chunks(F.col("text"), size), "chunk", position="chunk_id"
     )
 
 

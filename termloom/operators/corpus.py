@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.stop_words import ENGLISH
-from termloom.functions.text import document_tokens
+from termloom.functions.text import clean, document_tokens
 from termloom.profiles import Profile
 
 
@@ -27,9 +27,16 @@ def corpus_size(documents: DataFrame) -> DataFrame:
 def tokenize_corpus(
     documents: DataFrame, profile: Profile, stop_words: Iterable[str] = ENGLISH
 ) -> DataFrame:
-    """(doc_id, tokens); null texts are dropped."""
-    return documents.filter(F.col("text").isNotNull()).select(
-        "doc_id", document_tokens(F.col("text"), profile, stop_words).alias("tokens")
+    """(doc_id, tokens); null texts are dropped.
+
+    Cleaning is a column of its own, so it is worked out once however often
+    the expression for the tokens refers to it.
+    """
+    cleaned = documents.filter(F.col("text").isNotNull()).select(
+        "doc_id", clean(F.col("text"), profile).alias("cleaned")
+    )
+    return cleaned.select(
+        "doc_id", document_tokens(F.col("cleaned"), profile, stop_words).alias("tokens")
     )
 
 

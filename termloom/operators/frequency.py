@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.operators.rows import explode_computed
+
 
 def explode_tokens(tokens: DataFrame) -> DataFrame:
     """(doc_id, position, term), positions counted from 0."""
-    return tokens.select("doc_id", F.posexplode("tokens").alias("position", "term"))
+    return explode_computed(tokens, ["doc_id"], "tokens", "term", position="position")
 
 
 def term_frequency(tokens: DataFrame) -> DataFrame:
@@ -18,7 +20,7 @@ def term_frequency(tokens: DataFrame) -> DataFrame:
     shuffle key, so neither a common term nor a repeated id is one task's work.
     """
     return (
-        tokens.select("doc_id", F.explode("tokens").alias("term"))
+        explode_computed(tokens, ["doc_id"], "tokens", "term")
         .groupBy("term", "doc_id")
         .agg(F.count("*").alias("tf"))
     )
@@ -35,7 +37,7 @@ def document_frequency_distinct(tokens: DataFrame) -> DataFrame:
     Rows without an id count as one document, as they do in `term_frequency`.
     """
     return (
-        tokens.select("doc_id", F.explode("tokens").alias("term"))
+        explode_computed(tokens, ["doc_id"], "tokens", "term")
         .distinct()
         .groupBy("term")
         .agg(F.count("*").alias("df"))

@@ -29,12 +29,16 @@ class Size:
         return self.rows <= BROADCAST_ROWS and self.key_bytes <= BROADCAST_KEY_BYTES
 
 
-def measure(table: DataFrame, key: str) -> Size:
+def measure(table: DataFrame, *keys: str) -> Size:
+    """Rows, and bytes of the columns whose values have no fixed width."""
     row = table.agg(
         F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias("bytes"),
+        *[
+            F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0)).alias(key)
+            for key in keys
+        ],
     ).first()
-    return Size(row["rows"], row["bytes"])
+    return Size(row["rows"], sum(row[key] for key in keys))
 
 
 def join_by_load(

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.operators.rows import explode_computed
+
 # Fixed value: a run of two or more capitalised words.
 CAPITALISED_RUN = r"\p{Lu}[\p{L}\p{N}]*(?:[\t-\r ]+\p{Lu}[\p{L}\p{N}]*)+"
 
@@ -26,7 +28,7 @@ def extract_mentions(chunks: DataFrame, extractor: Extractor | None = None) -> D
         found = F.regexp_extract_all("chunk", F.lit(CAPITALISED_RUN), F.lit(0))
     else:
         found = _apply(extractor)("chunk")
-    mentions = texts.select(F.explode(found).alias("mention")).select(
+    mentions = explode_computed(texts, [], found, "mention").select(
         F.trim(F.regexp_replace("mention", "[\\t-\\r ]+", " ")).alias("mention")
     )
     return mentions.filter(_several_words(F.col("mention")))

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.stop_words import ENGLISH
-from termloom.functions.text import query_tokens
+from termloom.functions.text import clean, query_tokens
 from termloom.functions.weights import idf
+from termloom.operators.rows import explode_computed
 from termloom.profiles import Profile
 
 SINGLE = "single"
@@ -24,8 +25,9 @@ def tokenize_queries(
 
     The mode goes by the number of tokens after stop words, repeats included.
     """
-    tokens = queries.select(
-        "query_id", query_tokens(F.col("query_raw"), profile, stop_words).alias("tokens")
+    cleaned = queries.select("query_id", clean(F.col("query_raw"), profile).alias("cleaned"))
+    tokens = cleaned.select(
+        "query_id", query_tokens(F.col("cleaned"), profile, stop_words).alias("tokens")
     )
     n_tokens = F.size("tokens")
     return tokens.select(
@@ -42,7 +44,7 @@ def tokenize_queries(
 def query_terms(tokenized: DataFrame) -> DataFrame:
     """(query_id, mode, term, qtf): empty tokens are no query terms."""
     return (
-        tokenized.select("query_id", "mode", F.explode("tokens").alias("term"))
+        explode_computed(tokenized, ["query_id", "mode"], "tokens", "term")
         .filter(F.col("term") != "")
         .groupBy("query_id", "mode", "term")
         .agg(F.count("*").alias("qtf"))

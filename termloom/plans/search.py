@@ -52,7 +52,7 @@ def query_vectors(
     )
     # The filter is what lets Spark prune the buckets of the term table.
     wanted = terms.filter(F.col("qtf") > 0).select("bucket", "term")
-    if measure(terms, "term").broadcastable:
+    if measure(terms, "term", "query_id").broadcastable:
         wanted = F.broadcast(wanted)
     known = index.terms.join(wanted, ["bucket", "term"], "left_semi")
     vectors = weigh_query_terms(terms, known, index.profile, index.stats.n_docs)
@@ -67,7 +67,7 @@ def search_vectors(index: TextIndex, vectors: DataFrame, k: int = 10) -> DataFra
     Single-term queries need the postings of their terms and nothing else;
     the others add up shared terms by document and divide by the norms.
     """
-    by_broadcast = measure(vectors, "term").broadcastable
+    by_broadcast = measure(vectors, "term", "query_id").broadcastable
     single = _matches(index, vectors.filter(F.col("mode") == SINGLE), by_broadcast)
     several = _matches(index, vectors.filter(F.col("mode") == COSINE), by_broadcast)
     scores = single_term_scores(single, index.profile).unionByName(

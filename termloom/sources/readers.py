@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from termloom.operators.chunks import chunk_lines, running_total
 from termloom.operators.corpus import corpus
+from termloom.operators.rows import explode_computed
 
 TITLES_SCHEMA = "doc_id string, title string"
 QUERIES_SCHEMA = "query_id bigint, query_raw string"
@@ -111,7 +112,7 @@ def query_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, query_id, query_raw): the lines of each text read as a query file."""
     lines = F.split("text", r"\r\n|\n|\r")
     kept = F.filter(F.transform(lines, _strip), lambda line: (line != "") & ~line.startswith("#"))
-    return documents.select("doc_id", F.posexplode(kept).alias("position", "query_raw")).select(
+    return explode_computed(documents, ["doc_id"], kept, "query_raw", position="position").select(
         "doc_id", (F.col("position") + 1).cast("bigint").alias("query_id"), "query_raw"
     )
 
