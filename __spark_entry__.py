@@ -28,13 +28,13 @@ from termloom.operators.frequency import (  # noqa: E402
     term_frequency,
 )
 from termloom.operators.mentions import count_mentions, extract_mentions  # noqa: E402
-from termloom.operators.queries import COSINE, SINGLE  # noqa: E402
+from termloom.operators.queries import COSINE, SINGLE, tokenize_queries  # noqa: E402
 from termloom.plans.index import TextIndex, build_index  # noqa: E402
 from termloom.plans.mention_report import mention_report  # noqa: E402
 from termloom.plans.search import query_vectors, search, search_vectors  # noqa: E402
 from termloom.plans.workspace import Workspace  # noqa: E402
 from termloom.profiles import NORMALIZED, RAW, SMOOTHED, Profile  # noqa: E402
-from termloom.sources.listings import hit_lines, mention_lines  # noqa: E402
+from termloom.sources.listings import hit_lines, mention_lines, query_headings  # noqa: E402
 from termloom.sources.readers import (  # noqa: E402
     query_lines,
     read_corpus_table,
@@ -96,6 +96,7 @@ def queries() -> dict[str, Query]:
             f"tfidf_{name}": _tfidf(profile),
             f"document_norm_{name}": _document_norm(profile),
             f"document_vector_{name}": _document_vector(profile),
+            f"query_headings_{name}": _query_headings(profile),
             f"query_vector_{name}": _query_vector(profile),
             f"single_term_top10_{name}": _single_term_top10(profile),
             f"cosine_top10_{name}": _cosine_top10(profile),
@@ -233,6 +234,10 @@ def _document_vector(profile: Profile) -> Query:
     )
 
 
+def _query_headings(profile: Profile) -> Query:
+    return lambda spark, sf: query_headings(tokenize_queries(_mixed_queries(spark, sf), profile))
+
+
 def _query_vector(profile: Profile) -> Query:
     return lambda spark, sf: query_vectors(
         _index(spark, sf, profile), _benchmark_queries(spark, sf)

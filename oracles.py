@@ -89,17 +89,24 @@ MIXED = f"""
   UNION ALL SELECT r_regionkey * 10 + 6, 'The of AND' FROM region"""
 
 
-def query_side(profile: str, queries: str) -> str:
-    """CTEs queries, qtoks, qv on top of weights()."""
+def query_tokens(profile: str, queries: str) -> str:
+    """CTEs queries and qtoks (query_id, tokens)."""
     if profile == "normalized":
         tokens = stopped(split(clean("space", "query_raw")))
-        join, df = "JOIN", "df"
     else:
         words = f"string_split_regex({clean('delete', 'query_raw')}, '[{UNICODE_SPACE}]+')"
         tokens = f"list_filter({stopped(words)}, lambda x: x <> '')"
-        join, df = "LEFT JOIN", "coalesce(df, 0)"
     return f"""queries AS ({queries}),
-qtoks AS (SELECT CAST(query_id AS BIGINT) AS query_id, {tokens} AS tokens FROM queries),
+qtoks AS (SELECT CAST(query_id AS BIGINT) AS query_id, {tokens} AS tokens FROM queries)"""
+
+
+def query_side(profile: str, queries: str) -> str:
+    """CTEs queries, qtoks, qv on top of weights()."""
+    if profile == "normalized":
+        join, df = "JOIN", "df"
+    else:
+        join, df = "LEFT JOIN", "coalesce(df, 0)"
+    return f"""{query_tokens(profile, queries)},
 qtf AS (
   SELECT query_id, any_value(len) AS len, term, count(*) AS qtf
   FROM (SELECT query_id, len(tokens) AS len, unnest(tokens) AS term FROM qtoks)
@@ -256,6 +263,9 @@ FROM hits LEFT JOIN (
 SELECT doc_id, length, round(norm, 6) AS norm FROM norms""",
             f"document_vector_{name}": f"""{weighed}
 SELECT doc_id, count(*) AS n_terms, round(sum(weight), 6) AS weight_sum FROM w GROUP BY doc_id""",
+            f"query_headings_{name}": f"""WITH {query_tokens(name, MIXED)}
+SELECT query_id, CASE WHEN len(tokens) = 1 THEN upper(tokens[1])
+  ELSE array_to_string(tokens, ' ') END AS heading FROM qtoks""",
             f"query_vector_{name}": f"""{weighed}, {query_side(name, BENCHMARK)}
 SELECT query_id, term, qtf, df, round(qweight, 6) AS qweight, round(qnorm, 6) AS qnorm FROM qv""",
             f"single_term_top10_{name}": f"""{single}

@@ -155,8 +155,16 @@ def search_term(index: TextIndex, term: str, k: int = 10) -> DataFrame:
 
 
 def _matches(index: TextIndex, vectors: DataFrame, by_broadcast: bool) -> DataFrame:
-    """Postings of the query terms, once per query that asks for the term."""
+    """Postings of the query terms, once per query that asks for the term.
+
+    Query sets too large to broadcast often ask for few distinct terms; then
+    only the postings of those are read and shuffled.
+    """
     keys = ["bucket", "term"]
     if by_broadcast:
         return index.postings.join(F.broadcast(vectors), keys)
-    return join_salted(index.postings, vectors, keys, "doc_id")
+    postings = index.postings
+    wanted = vectors.filter(F.col("qtf") > 0).select(*keys).distinct()
+    if measure(wanted, "term").broadcastable:
+        postings = postings.join(F.broadcast(wanted), keys, "left_semi")
+    return join_salted(postings, vectors, keys, "doc_id")

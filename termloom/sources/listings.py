@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.operators.queries import SINGLE
+
 # Decimals of a listed score, width of a listed name.
 SCORE_DECIMALS = 4
 MENTION_WIDTH = 30
@@ -16,6 +18,14 @@ def hit_lines(hits: DataFrame) -> DataFrame:
     return hits.select("query_id", "rank", line.alias("line"))
 
 
+def query_headings(tokenized: DataFrame) -> DataFrame:
+    """(query_id, heading): a single term in capitals, more terms in a row."""
+    heading = F.when(F.col("mode") == SINGLE, F.upper(F.element_at("tokens", 1))).otherwise(
+        F.array_join("tokens", " ")
+    )
+    return tokenized.select("query_id", heading.alias("heading"))
+
+
 def mention_lines(counts: DataFrame) -> DataFrame:
     """(line): the name, padded, and its count; long names stay whole."""
     padded = F.when(

@@ -9,6 +9,7 @@ import termloom.operators.joins as joins
 from termloom import NORMALIZED, SMOOTHED, build_index, load_index, search, search_term
 from termloom.operators.scoring import top_k
 from termloom.plans.search import query_vectors, search_vectors
+from termloom.sources.readers import read_corpus_tsv, read_queries
 
 PROFILES = pytest.mark.parametrize("profile", [NORMALIZED, SMOOTHED], ids=lambda p: p.name)
 UNIQUE_ROWS = [(doc_id + str(i), text) for i, (doc_id, text) in enumerate(ROWS)]
@@ -78,6 +79,48 @@ def test_every_query_against_brute_force(spark, workspace, profile):
     assert_same_hits(hits_of(result.hits), expected_hits(Index(ROWS, profile.name)))
 
 
+# The ten sample queries.
+SAMPLE_QUERIES = """# --- Single-Term Queries (5) ---
+Action
+Funny
+Romance
+Alien
+Tragedy
+
+# --- Multiple-Term Queries (5) ---
+A young hero's journey to save the world
+Historical drama in ancient Rome
+The police investigate a complex murder mystery
+A heist involving a huge diamond and betrayal
+Funny movie with high-stakes action scenes
+"""
+
+PLOTS = [
+    ("1", "A funny alien lands in Rome; the police don't find it funny."),
+    ("2", "Romance and tragedy in ancient Rome, a drama of betrayal."),
+    ("3", "A young hero saves the world from an alien. Action follows."),
+    ("4", "The police investigate a murder. A mystery, a heist, a diamond!"),
+    ("5", "High-stakes action: two thieves, a huge diamond, one betrayal."),
+    ("6", "Heroes' journey: young and old journey to the end of the world."),
+    ("7", "A historical movie about a complex tragedy, in funny scenes."),
+    ("8", "High stakes; more action, more ACTION."),
+]
+
+
+@PROFILES
+def test_the_sample_queries(spark, workspace, tmp_path, profile):
+    corpus_path, query_path = tmp_path / "plots.tsv", tmp_path / "terms.txt"
+    corpus_path.write_text("".join(f"{doc_id}\t{plot}\n" for doc_id, plot in PLOTS))
+    query_path.write_text(SAMPLE_QUERIES)
+    asked = read_queries(spark, str(query_path))
+    index = build_index(read_corpus_tsv(spark, str(corpus_path)), profile, workspace.path("i"))
+    result = search(index, asked, workspace=workspace)
+    rows = [tuple(row) for row in asked.collect()]
+    assert len(rows) == 10
+    assert_same_hits(hits_of(result.hits), expected_hits(Index(PLOTS, profile.name), rows))
+    assert result.status.filter("status = 'ok'").count() == 10
+
+
 @PROFILES
 def test_real_documents_against_brute_force(spark, workspace, sf, profile):
     table = spark.read.parquet(f"{sf}/documents.parquet").select(
@@ -94,11 +137,16 @@ def test_real_documents_against_brute_force(spark, workspace, sf, profile):
 def test_large_query_sets_take_the_shuffle_way(spark, workspace, profile, monkeypatch):
     index = build_index(documents(spark, ROWS), profile, workspace.path("i"), buckets=3)
     by_broadcast = hits_of(search(index, queries(spark), workspace=workspace).hits)
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    vectors = query_vectors(index, queries(spark), workspace)
-    plan = search_vectors(index, vectors)._jdf.queryExecution().executedPlan().toString()
-    assert "salt" in plan
-    assert hits_of(search(index, queries(spark), workspace=workspace).hits) == by_broadcast
+    for rows in (13, 0):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", rows)
+        vectors = query_vectors(index, queries(spark), workspace)
+        assert 13 < vectors.count()
+        hits = search_vectors(index, vectors)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert "salt" in plan
+        # Distinct terms still fit the first time, so buckets are pruned.
+        assert ("dynamicpruning" in plan) == (rows > 0)
+        assert hits_of(hits) == by_broadcast
 
 
 @PROFILES
