@@ -62,7 +62,7 @@ def test_bags_need_no_shuffle(spark, sf):
 def test_batch_search_prunes_buckets_and_keeps_k_rows_per_task(index, vectors):
     plan = plan_of(search_vectors(index, vectors))
     assert_native(plan)
-    assert "dynamicpruning" in plan
+    assert "SubqueryAdaptiveBroadcast" in plan
     assert plan.count("WindowGroupLimit") == 2
 
 

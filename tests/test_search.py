@@ -23,6 +23,16 @@ def queries(spark, rows=QUERIES):
     return spark.createDataFrame(rows, "query_id bigint, query_raw string")
 
 
+@pytest.fixture(scope="module")
+def micro(spark, tmp_path_factory):
+    """Indexes of the micro corpus, several buckets each, built once."""
+    root = tmp_path_factory.mktemp("micro")
+    return {
+        profile.name: build_index(documents(spark, ROWS), profile, f"{root}/{profile.name}", 3)
+        for profile in (NORMALIZED, SMOOTHED)
+    }
+
+
 def hits_of(frame):
     found = {}
     for row in frame.orderBy("query_id", "rank").collect():
@@ -44,8 +54,9 @@ def assert_same_hits(got, expected):
 
 
 @PROFILES
-@pytest.mark.parametrize("rows", [ROWS, UNIQUE_ROWS], ids=["repeated", "unique"])
-@pytest.mark.parametrize("buckets", [None, 5])
+@pytest.mark.parametrize(
+    ("rows", "buckets"), [(ROWS, 5), (UNIQUE_ROWS, None)], ids=["repeated", "unique"]
+)
 def test_index_tables(spark, workspace, profile, rows, buckets):
     brute = Index(rows, profile.name)
     index = build_index(documents(spark, rows), profile, workspace.path("i"), buckets)
@@ -73,9 +84,8 @@ def test_index_tables(spark, workspace, profile, rows, buckets):
 
 
 @PROFILES
-def test_every_query_against_brute_force(spark, workspace, profile):
-    index = build_index(documents(spark, ROWS), profile, workspace.path("i"), buckets=3)
-    result = search(load_index(spark, index.path), queries(spark), workspace=workspace)
+def test_every_query_against_brute_force(spark, workspace, micro, profile):
+    result = search(load_index(spark, micro[profile.name].path), queries(spark), workspace=workspace)
     assert_same_hits(hits_of(result.hits), expected_hits(Index(ROWS, profile.name)))
 
 
@@ -134,8 +144,8 @@ def test_real_documents_against_brute_force(spark, workspace, sf, profile):
 
 
 @PROFILES
-def test_large_query_sets_take_the_shuffle_way(spark, workspace, profile, monkeypatch):
-    index = build_index(documents(spark, ROWS), profile, workspace.path("i"), buckets=3)
+def test_large_query_sets_take_the_shuffle_way(spark, workspace, micro, profile, monkeypatch):
+    index = micro[profile.name]
     by_broadcast = hits_of(search(index, queries(spark), workspace=workspace).hits)
     for rows in (13, 0):
         monkeypatch.setattr(joins, "BROADCAST_ROWS", rows)
@@ -144,8 +154,8 @@ def test_large_query_sets_take_the_shuffle_way(spark, workspace, profile, monkey
         hits = search_vectors(index, vectors)
         plan = hits._jdf.queryExecution().executedPlan().toString()
         assert "salt" in plan
-        # Distinct terms still fit the first time, so buckets are pruned.
-        assert ("dynamicpruning" in plan) == (rows > 0)
+        # Distinct terms still fit the first time, so postings are cut down first.
+        assert ("LeftSemi" in plan) == (rows > 0)
         assert hits_of(hits) == by_broadcast
 
 
@@ -180,8 +190,8 @@ def test_k_beyond_the_group_limit(spark, profile):
         top_k(scores, 0, profile)
 
 
-def test_status_normalized(spark, workspace):
-    index = build_index(documents(spark, ROWS), NORMALIZED, workspace.path("i"))
+def test_status_normalized(spark, workspace, micro):
+    index = micro["normalized"]
     status = search(index, queries(spark), workspace=workspace).status
     got = {row.query_id: (row.mode, row.status, row.n_hits) for row in status.collect()}
     assert got[1] == ("single", "ok", 4)
@@ -193,8 +203,8 @@ def test_status_normalized(spark, workspace):
     assert set(got) == {query_id for query_id, _ in QUERIES}
 
 
-def test_status_smoothed(spark, workspace):
-    index = build_index(documents(spark, ROWS), SMOOTHED, workspace.path("i"))
+def test_status_smoothed(spark, workspace, micro):
+    index = micro["smoothed"]
     status = search(index, queries(spark), workspace=workspace).status
     got = {row.query_id: (row.mode, row.status) for row in status.collect()}
     assert got[2] == ("single", "no hits")
@@ -218,8 +228,8 @@ def test_term_in_every_document(spark, workspace):
     assert status == {1: "ok", 2: "no similar documents", 3: "ok"}
 
 
-def test_repeated_term_counts_again_when_smoothed(spark, workspace):
-    index = build_index(documents(spark, ROWS), SMOOTHED, workspace.path("i"))
+def test_repeated_term_counts_again_when_smoothed(spark, workspace, micro):
+    index = micro["smoothed"]
     got = hits_of(search(index, queries(spark, [(1, "alien alien")]), workspace=workspace).hits)
     assert max(score for _, score in got[1]) > 1
 
@@ -235,8 +245,8 @@ def test_ties(spark, workspace):
 
 
 @PROFILES
-def test_search_term(spark, workspace, profile):
-    index = build_index(documents(spark, ROWS), profile, workspace.path("i"), buckets=4)
+def test_search_term(micro, profile):
+    index = micro[profile.name]
     got = [(r.doc_id, r.score) for r in search_term(index, "alien", 3).orderBy("rank").collect()]
     expected = Index(ROWS, profile.name).search("alien", 3)
     assert [d for d, _ in got] == [d for d, _ in expected]
@@ -244,8 +254,8 @@ def test_search_term(spark, workspace, profile):
     assert search_term(index, "unicorn").count() == 0
 
 
-def test_titles(spark, workspace):
-    index = build_index(documents(spark, ROWS), NORMALIZED, workspace.path("i"))
+def test_titles(spark, workspace, micro):
+    index = micro["normalized"]
     titles = spark.createDataFrame(
         [("b", "Second"), ("b", "First"), ("f", None), ("z", "Unused")],
         "doc_id string, title string",
@@ -270,8 +280,8 @@ def test_a_document_finds_itself(spark, workspace, sf):
     assert result.hits.filter("mode = 'cosine' AND (score <= 0 OR score > 1.00000001)").isEmpty()
 
 
-def test_no_queries_and_no_documents(spark, workspace):
-    index = build_index(documents(spark, ROWS), NORMALIZED, workspace.path("i"))
+def test_no_queries_and_no_documents(spark, workspace, micro):
+    index = micro["normalized"]
     result = search(index, queries(spark, []), workspace=workspace)
     assert result.hits.count() == 0
     assert result.status.count() == 0
