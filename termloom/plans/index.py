@@ -32,7 +32,9 @@ from termloom.operators.frequency import document_frequency
 from termloom.operators.joins import Size, join_by_load, measure
 from termloom.profiles import Profile
 
-POSTINGS_PER_TASK = 8_000_000
+# A task's sorted postings come to about 200 MB of Parquet; at 10^13 postings
+# that is 200,000 tasks, which a range shuffle still samples well.
+POSTINGS_PER_TASK = 50_000_000
 SMALLEST_TASK = 50_000
 POSTINGS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 8192
