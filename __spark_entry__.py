@@ -226,12 +226,15 @@ def _document_norm(profile: Profile) -> Query:
 
 
 def _document_vector(profile: Profile) -> Query:
-    weight_sum = F.aggregate(F.map_values("vector"), F.lit(0.0), lambda total, w: total + w)
-    return lambda spark, sf: _index(spark, sf, profile).vectors().select(
-        "doc_id",
-        F.size("vector").cast("bigint").alias("n_terms"),
-        F.round(weight_sum, DIGITS).alias("weight_sum"),
-    )
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        weight_sum = F.aggregate(F.map_values("vector"), F.lit(0.0), lambda total, w: total + w)
+        return _index(spark, sf, profile).vectors().select(
+            "doc_id",
+            F.size("vector").cast("bigint").alias("n_terms"),
+            F.round(weight_sum, DIGITS).alias("weight_sum"),
+        )
+
+    return run
 
 
 def _query_headings(profile: Profile) -> Query:
