@@ -44,6 +44,15 @@ from termloom.sources.readers import (  # noqa: E402
     read_titles_tsv,
 )
 
+try:
+    import corpus_pipeline
+    from termloom.llm import queries as llm
+except ModuleNotFoundError as error:
+    # The subpackage for training data is optional, as a whole.
+    if error.name not in ("corpus_pipeline", "termloom.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Decimals shown of weights and norms, so that two engines' logarithms agree.
@@ -105,11 +114,18 @@ def queries() -> dict[str, Query]:
             f"hits_with_titles_{name}": _hits_with_titles(profile),
             f"hit_listing_{name}": _hit_listing(profile),
         }
+    if llm is not None:
+        registered |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return registered
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.statements()
+    statements = oracles.statements()
+    if llm is not None:
+        statements |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
