@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm.mixing import five_two_one, plan_mix, taken_words
 from termloom.llm.packing import pack_documents
 from termloom.llm.pii import BASE, count_of, find_pii, span_text
 from termloom.llm.rules import quality_rules
@@ -19,6 +20,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    return taken_words(documents, plan_mix(documents, five_two_one, factor=1.5, most=2.0))
+
+
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every line of every document."""
     return token_counts(_table(spark, sf, "documents"))
@@ -67,6 +73,7 @@ def queries() -> dict[str, Query]:
     return {
         query.__name__: query
         for query in (
+            op1_mixing,
             op4_token_counts,
             op7_quality_rules,
             op9_packing,
