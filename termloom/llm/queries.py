@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm.common import remainder
 from termloom.llm.mixing import five_two_one, plan_mix, taken_words
 from termloom.llm.packing import pack_documents
 from termloom.llm.pii import BASE, count_of, find_pii, span_text
+from termloom.llm.quality import quality_scores, train_quality
 from termloom.llm.rules import quality_rules
 from termloom.llm.token_counts import token_counts
 
@@ -30,6 +32,18 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 3) == 1
+    model = train_quality(documents.filter(~held_out), _table(spark, sf, "labels"))
+    return quality_scores(documents, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules(_table(spark, sf, "documents"))
     return judged.select(
@@ -75,6 +89,7 @@ def queries() -> dict[str, Query]:
         for query in (
             op1_mixing,
             op4_token_counts,
+            op5_quality,
             op7_quality_rules,
             op9_packing,
             op10_pii,
