@@ -14,6 +14,7 @@ from termloom.llm.pii import BASE, count_of, find_pii, span_text
 from termloom.llm.quality import quality_scores, train_quality
 from termloom.llm.rules import quality_rules
 from termloom.llm.token_counts import token_counts
+from termloom.llm.toxicity import toxicity_scores, train_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,18 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 4) == 2
+    model = train_toxicity(documents.filter(~held_out), _table(spark, sf, "labels"))
+    return toxicity_scores(documents, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules(_table(spark, sf, "documents"))
     return judged.select(
@@ -90,6 +103,7 @@ def queries() -> dict[str, Query]:
             op1_mixing,
             op4_token_counts,
             op5_quality,
+            op6_toxicity,
             op7_quality_rules,
             op9_packing,
             op10_pii,
