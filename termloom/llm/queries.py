@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.common import remainder
+from termloom.llm.language import identify_language, train_language
 from termloom.llm.mixing import five_two_one, plan_mix, taken_words
 from termloom.llm.packing import pack_documents
 from termloom.llm.pii import BASE, count_of, find_pii, span_text
@@ -28,6 +29,15 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return taken_words(documents, plan_mix(documents, five_two_one, factor=1.5, most=2.0))
 
 
+def op2_language(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    held_out = remainder("doc_id", 5) == 0
+    net = train_language(documents.filter(~held_out).select("text", "lang"))
+    return identify_language(documents.select("doc_id", "text"), net).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every line of every document."""
     return token_counts(_table(spark, sf, "documents"))
@@ -101,6 +111,7 @@ def queries() -> dict[str, Query]:
         query.__name__: query
         for query in (
             op1_mixing,
+            op2_language,
             op4_token_counts,
             op5_quality,
             op6_toxicity,
