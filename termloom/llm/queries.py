@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.common import remainder
 from termloom.llm.language import identify_language, train_language
+from termloom.llm.minhash import near_copies
 from termloom.llm.mixing import five_two_one, plan_mix, taken_words
 from termloom.llm.packing import pack_documents
 from termloom.llm.pii import BASE, count_of, find_pii, span_text
@@ -82,6 +83,16 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    copies = near_copies(_table(spark, sf, "documents"), words=2)
+    return copies.select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        (F.col("doc_id") == F.col("component_id")).alias("kept"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     pieces = pack_documents(_table(spark, sf, "documents"))
     return pieces.select(
@@ -116,6 +127,7 @@ def queries() -> dict[str, Query]:
             op5_quality,
             op6_toxicity,
             op7_quality_rules,
+            op8_near_copies,
             op9_packing,
             op10_pii,
         )
