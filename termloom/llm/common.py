@@ -92,3 +92,37 @@ def vectors_of(column: pa.Array | pa.ChunkedArray, dtype) -> np.ndarray:
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(dtype, copy=False).reshape(len(column), -1 if len(column) else 0)
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
+    """Tables of at least ``rows`` rows, but for the last, that cut no group of equal keys.
+
+    The batches are sorted by ``key``.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        if size >= rows:
+            last = held[-1].column(key)[-1].as_py()
+            cut = int(np.searchsorted(keys, last, side="right"))
+            if cut:
+                held.append(batch.slice(0, cut))
+                size += cut
+            if cut < batch.num_rows:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+                batch = batch.slice(cut)
+            else:
+                continue
+        held.append(batch)
+        size += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def run_bounds(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])

@@ -11,6 +11,7 @@ from termloom.llm.common import remainder
 from termloom.llm.language import identify_language, train_language
 from termloom.llm.minhash import near_copies
 from termloom.llm.mixing import five_two_one, plan_mix, taken_words
+from termloom.llm.neighbours import near_vectors
 from termloom.llm.packing import pack_documents
 from termloom.llm.pii import BASE, count_of, find_pii, span_text
 from termloom.llm.quality import quality_scores, train_quality
@@ -39,6 +40,12 @@ def op2_language(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors(_table(spark, sf, "embeddings")).withColumn(
+        "kept", F.col("vec_id") == F.col("component_id")
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every line of every document."""
     return token_counts(_table(spark, sf, "documents"))
@@ -123,6 +130,7 @@ def queries() -> dict[str, Query]:
         for query in (
             op1_mixing,
             op2_language,
+            op3_near_vectors,
             op4_token_counts,
             op5_quality,
             op6_toxicity,
