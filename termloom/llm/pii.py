@@ -81,7 +81,7 @@ KINDS = [
     ),
     Kind(
         "iban",
-        r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])",
         "[A-Z][A-Z][0-9][0-9]",
         0.8,
         r"(?i)iban|account|bank|transfer",
