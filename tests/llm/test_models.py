@@ -1,0 +1,188 @@
+"""Held-out accuracy of the trained operators, and their edge cases."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from termloom.llm import language, quality, toxicity
+from termloom.llm.queries import op2_language, op5_quality, op6_toxicity
+
+SF = "/root/testdata/sf0.01"
+EDGES = [(1, None), (2, ""), (3, "  \n"), (4, "12345 ..."), (None, "the end of the story"), (6, "x" * 300_000)]
+
+
+def held_out(rows, labels, label):
+    known = {r.doc_id: r[label] for r in labels.collect()}
+    return [(row, known[row.doc_id]) for row in rows if row.held_out and known.get(row.doc_id) is not None]
+
+
+def area(pairs):
+    """Chance that a row with label 1 scores above one with label 0."""
+    ones = np.array([row.score for row, label in pairs if label == 1])
+    zeros = np.array([row.score for row, label in pairs if label == 0])
+    higher = (ones[:, None] > zeros[None, :]).mean()
+    return higher + (ones[:, None] == zeros[None, :]).mean() / 2
+
+
+def test_language_on_held_out_texts(spark):
+    rows = op2_language(spark, SF).collect()
+    pairs = held_out(rows, spark.read.parquet(f"{SF}/documents.parquet"), "lang")
+    assert len(pairs) > 150 and all(0 <= row.score <= 1 for row in rows)
+    assert np.mean([row.lang_pred == label for row, label in pairs]) > 0.97
+
+
+def test_quality_on_held_out_texts(spark):
+    pairs = held_out(op5_quality(spark, SF).collect(), spark.read.parquet(f"{SF}/labels.parquet"), "quality")
+    assert len(pairs) > 100 and area(pairs) > 0.98
+    assert np.mean([row.predicted == label for row, label in pairs]) > 0.95
+
+
+def test_toxicity_on_held_out_texts(spark):
+    sf = "/root/testdata/sf0.1"
+    pairs = held_out(op6_toxicity(spark, sf).collect(), spark.read.parquet(f"{sf}/labels.parquet"), "toxic")
+    assert len(pairs) > 80 and area(pairs) > 0.9
+
+
+@pytest.fixture
+def taught(documents):
+    """Texts of two languages with labels, and edge cases without."""
+    rng = np.random.default_rng(1)
+    words = {"aa": ["tok", "kat", "tik"], "bb": ["mol", "lum", "omo"]}
+    rows = []
+    for i in range(200):
+        lang = "aa" if i % 2 else "bb"
+        text = " ".join(rng.choice(words[lang], 40))
+        if i % 5 == 0:
+            text += " vile vile text vile"
+        rows.append((i + 1000, text, lang, "s"))
+    return documents(rows + EDGES)
+
+
+def test_language_edge_cases(taught, clashing):
+    net = language.train_language(taught)
+    rows = {row.doc_id: row for row in language.identify_language(clashing(taught), net, "label").collect()}
+    assert [rows[i].label for i in (1, 2, 3, 4)] == ["und"] * 4
+    assert [rows[i].score for i in (1, 2, 3, 4)] == [0.0] * 4
+    assert rows[6].label in ("aa", "bb") and rows[1001].label == "aa" and rows[1002].label == "bb"
+    assert rows[1001].size == "own"
+    untaught = language.train_language(taught.filter("lang is null"))
+    assert untaught is None
+    assert {r.lang_pred for r in language.identify_language(taught, None).collect()} == {"und"}
+    assert language.identify_language(taught.limit(0), net).count() == 0
+
+
+def test_windows_of_one_text_and_of_many_agree():
+    rng = np.random.default_rng(0)
+    net = language.ByteNet.random(["a", "b", "c"], rng)
+    texts = [bytes(rng.integers(1, 255, n, dtype=np.uint8)) for n in (0, 1, 255, 256, 257, 5000, 200_000)]
+    together = net.batch_probabilities(texts)
+    for row, text in zip(together, texts, strict=True):
+        assert np.allclose(row, net.probabilities(text), atol=1e-5) and np.isclose(row.sum(), 1)
+    windows = np.concatenate([language.windows_of(text) for text in texts])
+    assert np.allclose(net.highest(windows), net.pooled(windows)[0], atol=1e-5)
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(0)
+    net = language.ByteNet.random(["a", "b"], rng)
+    for p in net.parameters():
+        p += rng.normal(0, 0.1, p.shape).astype(np.float32)
+    windows, labels = rng.integers(0, 9, (4, language.WINDOW)).astype(np.uint8), np.array([0, 1, 1, 0])
+
+    def loss():
+        odds = net._softmax(net.highest(windows))
+        return -np.log(odds[np.arange(4), labels]).mean()
+
+    for p, g in zip(net.parameters(), language._gradients(net, windows, labels), strict=True):
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        old = p[at]
+        p[at] = old + 1e-2
+        up = loss()
+        p[at] = old - 1e-2
+        down = loss()
+        p[at] = old
+        assert np.isclose((up - down) / 2e-2, g[at], rtol=0.1, atol=1e-3)
+
+
+def labels_of(spark, table, column):
+    known = table.filter("doc_id >= 1000").select("doc_id", F.col("text").contains("vile").cast("int").alias(column))
+    extra = spark.createDataFrame([(None, 1), (1001, None), (999999, 1)], f"doc_id bigint, {column} int")
+    return known.unionByName(extra)
+
+
+@pytest.mark.parametrize("name", ["quality", "toxicity"])
+def test_scores_of_edge_cases(spark, taught, clashing, name):
+    if name == "quality":
+        train, scores = quality.train_quality, quality.quality_scores
+        labels = labels_of(spark, taught, "quality")
+    else:
+        train, scores = toxicity.train_toxicity, toxicity.toxicity_scores
+        labels = labels_of(spark, taught, "toxic")
+    model = train(taught, labels)
+    rows = scores(clashing(taught), model).collect()
+    assert len(rows) == taught.count() and all(0 <= row.score <= 1 for row in rows)
+    assert all(row.size == "own" for row in rows)
+    by_id = {row.doc_id: row.score for row in rows}
+    vile = [by_id[r.doc_id] for r in taught.filter("text like '%vile%'").collect()]
+    fair = [by_id[r.doc_id] for r in taught.filter("doc_id >= 1000 and text not like '%vile%'").collect()]
+    if name == "toxicity":
+        assert min(vile) > max(fair)
+    assert scores(taught.limit(0), model).count() == 0
+    for few in (labels.limit(0), labels.filter("doc_id = 1000")):
+        untaught = train(taught, few)
+        assert {row.score for row in scores(taught, untaught).collect()} == {0.5 if name == "quality" else 0.0}
+
+
+def test_pairs_rank_good_above_bad():
+    rng = np.random.default_rng(0)
+    good, bad = rng.normal(0, 1, (300, 4)), rng.normal(0, 1, (100, 4))
+    bad[:, 2] += 6
+    model = quality.fit_bradley_terry(good, bad, pairs=5000)
+    assert np.argmax(np.abs(model.weights)) == 2 and model.weights[2] < 0
+    below = (model.score(np.vstack([good, bad])) < 0.5).mean()
+    assert abs(below - 0.25) < 0.01
+    alone = quality.fit_bradley_terry(good, bad[:0])
+    assert set(alone.score(good)) == {0.5}
+
+
+def test_kneser_ney_against_plain_counts(spark, documents, workspace):
+    """Log ratios of all pairs equal those of the formulas written out."""
+    texts = [("x y x y vile x", 1), ("x y z\nz y x", 0), ("vile vile x", 1), ("y z z z x y", 0), ("x y x", 0)]
+    from collections import Counter
+
+    pairs = {0: Counter(), 1: Counter()}
+    for text, label in texts:
+        for line in text.split("\n"):
+            before = "^"
+            for word in line.split():
+                pairs[label][before, word] += 1
+                before = word
+    words = sorted({w for c in pairs.values() for _, w in c})
+    index = {"^": toxicity.BEGIN} | {w: toxicity.FIRST + i for i, w in enumerate(words)}
+    rows = [
+        (index[v] << 32 | index[w], pairs[1][v, w], pairs[0][v, w]) for v, w in set(pairs[0]) | set(pairs[1])
+    ]
+    table = spark.createDataFrame(rows, "pair long, toxic long, ordinary long")
+    model = toxicity._estimate(table, words)
+    size = len(words) + toxicity.FIRST
+    both = set(pairs[0]) | set(pairs[1])
+
+    def probability(label, v, w):
+        c = pairs[label]
+        n1, n2 = sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values())
+        d = n1 / (n1 + 2 * n2)
+        shared = (sum(b == w for _, b in both) + 1) / (len(both) + size)
+        after = Counter(b for _, b in c)
+        lower = max(after[w] - d, 0) / len(c) + d * len(after) / len(c) * shared
+        total = sum(n for (a, _), n in c.items() if a == v)
+        if not total:
+            return lower
+        kinds = sum(a == v for a, _ in c)
+        return max(c[v, w] - d, 0) / total + d * kinds / total * lower
+
+    ids = toxicity._word_ids(words)
+    for v in ("x", "y", "z", "vile"):
+        for w in words:
+            got = model.evidence(f"{v} {w}", ids)[0] * 2 - model.evidence(v, ids)[0]
+            expected = np.log(probability(1, v, w) / probability(0, v, w))
+            assert np.isclose(got, expected), (v, w)
