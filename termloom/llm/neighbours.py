@@ -60,11 +60,11 @@ def _classes(vectors: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataF
     # Minus zero and zero are one number with two sets of bits.
     numbers = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
     rows = vectors.select("vec_id", numbers.alias("vector"))
-    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    not_zero = F.exists("vector", lambda x: x != 0)
     finite = ~F.exists(
         "vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     )
-    valid = F.coalesce(F.col("vector").isNotNull() & finite & (squares > 0), F.lit(False))
+    valid = F.coalesce(F.col("vector").isNotNull() & finite & not_zero, F.lit(False))
     rows = rows.select("vec_id", F.when(valid, F.col("vector")).alias("vector"))
     usual = (
         rows.filter(F.col("vector").isNotNull())
