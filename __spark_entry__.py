@@ -18,25 +18,29 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracles  # noqa: E402
 from termloom.functions.text import clean_delete, clean_space  # noqa: E402
 from termloom.functions.weights import document_tf, idf  # noqa: E402
-from termloom.operators.chunks import chunk_texts  # noqa: E402
+from termloom.operators.chunks import CHUNK_SIZE, chunk_texts  # noqa: E402
 from termloom.operators.corpus import corpus_size, tokenize_corpus  # noqa: E402
 from termloom.operators.frequency import (  # noqa: E402
     document_frequency,
+    document_frequency_by_row,
     document_frequency_distinct,
     document_length,
     explode_tokens,
+    has_unique_ids,
     term_frequency,
 )
 from termloom.operators.mentions import count_mentions, extract_mentions  # noqa: E402
 from termloom.operators.queries import COSINE, SINGLE, tokenize_queries  # noqa: E402
-from termloom.plans.index import TextIndex, build_index  # noqa: E402
+from termloom.operators.titles import one_title_per_id  # noqa: E402
+from termloom.plans.index import TextIndex, build_index, load_index  # noqa: E402
 from termloom.plans.mention_report import mention_report  # noqa: E402
-from termloom.plans.search import query_vectors, search, search_vectors  # noqa: E402
+from termloom.plans.search import query_vectors, search, search_term, search_vectors  # noqa: E402
 from termloom.plans.workspace import Workspace  # noqa: E402
 from termloom.profiles import NORMALIZED, RAW, SMOOTHED, Profile  # noqa: E402
 from termloom.sources.listings import hit_lines, mention_lines, query_headings  # noqa: E402
 from termloom.sources.readers import (  # noqa: E402
     query_lines,
+    read_book,
     read_corpus_table,
     read_corpus_tsv,
     read_queries,
@@ -55,9 +59,14 @@ except ModuleNotFoundError as error:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# More than a benchmark text has words, so that its words have numbers of their own.
+WORDS_PER_TEXT = 1_000_000
 # Decimals shown of weights and norms, so that two engines' logarithms agree.
 DIGITS = 6
 
+# A stop list that is not the default: words of the corpus, and common ones left in.
+CUSTOM_STOPS = oracles.CUSTOM_STOPS
+
 _indexes: dict[tuple[str, str, str], TextIndex] = {}
 
 
@@ -69,7 +78,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     registered: dict[str, Query] = {
         "corpus_scan": _documents,
-        "corpus_count": lambda spark, sf: corpus_size(_documents(spark, sf)),
+        "corpus_count": lambda spark, sf: corpus_size(_documents(spark, sf, spread=False)),
         "sample_5": _sample_5,
         "clean_space": lambda spark, sf: _documents(spark, sf).select(
             "doc_id", clean_space(F.col("text")).alias("clean")
@@ -80,9 +89,7 @@ def queries() -> dict[str, Query]:
         "tokens_space": lambda spark, sf: explode_tokens(_tokens(spark, sf, NORMALIZED)),
         "tokens_delete": lambda spark, sf: explode_tokens(_tokens(spark, sf, SMOOTHED)),
         "tokens_raw": lambda spark, sf: explode_tokens(_tokens(spark, sf, RAW)),
-        "document_frequency_distinct": lambda spark, sf: document_frequency_distinct(
-            _tokens(spark, sf, SMOOTHED)
-        ),
+        "document_frequency_distinct": _document_frequency_distinct,
         "tf_normalized": _tf_normalized,
         "query_lines": lambda spark, sf: query_lines(_documents(spark, sf)),
         "query_file": _query_file,
@@ -90,7 +97,13 @@ def queries() -> dict[str, Query]:
         "titles_tsv": lambda spark, sf: read_titles_tsv(spark, _title_file(spark, sf)),
         "titles_lines": lambda spark, sf: read_titles_lines(spark, _title_file(spark, sf)),
         "text_chunks": lambda spark, sf: chunk_texts(_documents(spark, sf)),
+        "book_chunks": _book_chunks,
         "mention_counts": _mention_counts,
+        "mention_counts_whole": lambda spark, sf: count_mentions(
+            extract_mentions(chunk_texts(_documents(spark, sf), None))
+        ),
+        "titles_last": _titles_last,
+        "empty_inputs": _empty_inputs,
         "mention_counts_custom": _mention_counts_custom,
         "mention_top10": lambda spark, sf: mention_report(_documents(spark, sf)),
         "mention_listing": lambda spark, sf: mention_lines(mention_report(_documents(spark, sf))),
@@ -113,6 +126,11 @@ def queries() -> dict[str, Query]:
             f"search_status_{name}": _search_status(profile),
             f"hits_with_titles_{name}": _hits_with_titles(profile),
             f"hit_listing_{name}": _hit_listing(profile),
+            f"search_term_{name}": _search_term(profile),
+            f"loaded_index_{name}": _loaded_index(profile),
+            f"search_custom_stops_{name}": _search_custom_stops(profile),
+            f"index_repeated_ids_{name}": _index_repeated_ids(profile),
+            f"search_repeated_ids_{name}": _search_repeated_ids(profile),
         }
     if llm is not None:
         registered |= llm.queries() | {"pipeline": corpus_pipeline.run}
@@ -132,8 +150,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return read_corpus_table(spark, f"{sf}/documents.parquet")
+def _documents(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
+    """The documents, dealt out over the cores where work on their texts follows."""
+    partitions = spark.sparkContext.defaultParallelism if spread else None
+    return read_corpus_table(spark, f"{sf}/documents.parquet", partitions=partitions)
 
 
 def _tokens(spark: SparkSession, sf: str, profile: Profile) -> DataFrame:
@@ -154,11 +174,13 @@ def _benchmark_queries(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _last_words(spark: SparkSession, sf: str) -> DataFrame:
-    """Single-term queries: the last plain word of every benchmark text."""
-    last_word = F.regexp_extract("text", r"([A-Za-z]+)[^A-Za-z]*\z", 1)
-    return _table(spark, sf, "benchmark").select(
-        F.col("item_id").alias("query_id"), last_word.alias("query_raw")
+def _words(spark: SparkSession, sf: str) -> DataFrame:
+    """Single-term queries: every plain word of every benchmark text."""
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    return (
+        _table(spark, sf, "benchmark")
+        .select("item_id", F.posexplode(words).alias("position", "query_raw"))
+        .select((F.col("item_id") * WORDS_PER_TEXT + F.col("position")).alias("query_id"), "query_raw")
     )
 
 
@@ -166,7 +188,7 @@ def _mixed_queries(spark: SparkSession, sf: str) -> DataFrame:
     """Every kind of query: long, single, repeated, unknown, empty, stopped."""
     nation = _table(spark, sf, "nation").select("n_nationkey", "n_name")
     region = _table(spark, sf, "region").select("r_regionkey", "r_name")
-    words = _last_words(spark, sf)
+    words = _words(spark, sf)
 
     def kind(rows: DataFrame, key: str, number: int, text) -> DataFrame:
         return rows.select(
@@ -190,8 +212,10 @@ def _titles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sample_5(spark: SparkSession, sf: str) -> DataFrame:
-    first = _documents(spark, sf).orderBy("doc_id").limit(5)
-    return tokenize_corpus(first, RAW).select(
+    documents = _documents(spark, sf, spread=False)
+    # Five ids are found without their texts.
+    first = F.broadcast(documents.select("doc_id").orderBy("doc_id").limit(5))
+    return tokenize_corpus(documents.join(first, "doc_id", "left_semi"), RAW).select(
         "doc_id", F.array_join("tokens", " ").alias("tokens")
     )
 
@@ -201,17 +225,33 @@ def _term_frequency(profile: Profile) -> Query:
 
 
 def _document_frequency(profile: Profile) -> Query:
-    return lambda spark, sf: document_frequency(term_frequency(_tokens(spark, sf, profile)))
+    return lambda spark, sf: _frequency_of(_documents(spark, sf), profile)
+
+
+def _frequency_of(documents: DataFrame, profile: Profile) -> DataFrame:
+    """Pairs of term and document are shuffled only where ids repeat."""
+    tokens = tokenize_corpus(documents, profile)
+    if has_unique_ids(documents):
+        return document_frequency_by_row(tokens)
+    return document_frequency(term_frequency(tokens))
+
+
+def _document_frequency_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _documents(spark, sf)
+    tokens = tokenize_corpus(documents, SMOOTHED)
+    if has_unique_ids(documents):
+        return document_frequency_by_row(tokens)
+    return document_frequency_distinct(tokens)
 
 
 def _document_length(profile: Profile) -> Query:
-    return lambda spark, sf: document_length(term_frequency(_tokens(spark, sf, profile)))
+    return lambda spark, sf: document_length(_tokens(spark, sf, profile))
 
 
 def _idf(profile: Profile) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         documents = _documents(spark, sf)
-        df = document_frequency(term_frequency(tokenize_corpus(documents, profile)))
+        df = _frequency_of(documents, profile)
         n_docs = corpus_size(documents).scalar()
         return df.select(
             "term", "df", F.round(idf(profile, n_docs, F.col("df")), DIGITS).alias("idf")
@@ -280,7 +320,7 @@ def _top10(profile: Profile, make: Query, mode: str) -> Query:
 
 
 def _single_term_top10(profile: Profile) -> Query:
-    return _top10(profile, _last_words, SINGLE)
+    return _top10(profile, _words, SINGLE)
 
 
 def _cosine_top10(profile: Profile) -> Query:
@@ -322,7 +362,7 @@ def _corpus_tsv(spark: SparkSession, sf: str) -> DataFrame:
     """The documents, written as a tab-separated file and read as a corpus."""
     path = Workspace(spark).path("corpus-tsv")
     _documents(spark, sf).select(
-        F.concat_ws("\t", "doc_id", F.regexp_replace("text", "[\r\n]", " ")).alias("value")
+        F.concat_ws("\t", "doc_id", F.regexp_replace("text", "[\r\n\t]", " ")).alias("value")
     ).write.text(path)
     return read_corpus_tsv(spark, path)
 
@@ -337,6 +377,105 @@ def _title_file(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def _search_term(profile: Profile) -> Query:
+    """The public one-term route, for the word that most documents have."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        index = _index(spark, sf, profile)
+        term = index.terms.orderBy(F.desc("df"), "term").first()["term"]
+        return search_term(index, term)
+
+    return run
+
+
+def _loaded_index(profile: Profile) -> Query:
+    """The cosine search once more, on an index opened by its path."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        index = load_index(spark, _index(spark, sf, profile).path)
+        return search(index, _benchmark_queries(spark, sf)).hits.drop("mode")
+
+    return run
+
+
+def _search_custom_stops(profile: Profile) -> Query:
+    """An index with a stop list of its own, loaded and searched without naming it."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        path = Workspace(spark).path("index")
+        build_index(_documents(spark, sf), profile, path, stop_words=CUSTOM_STOPS)
+        return search(load_index(spark, path), _mixed_queries(spark, sf)).hits
+
+    return run
+
+
+def _repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents named by their source, which repeats; those of src0 have no name."""
+    table = _table(spark, sf, "documents")
+    named = table.select(F.nullif("source", F.lit("src0")).alias("doc_id"), "text")
+    return named.filter(F.col("text").isNotNull()).repartition(spark.sparkContext.defaultParallelism)
+
+
+def _repeated_index(spark: SparkSession, sf: str, profile: Profile) -> TextIndex:
+    key = (spark.sparkContext.applicationId, sf, f"repeated {profile.name}")
+    if key not in _indexes:
+        path = Workspace(spark).path("index")
+        _indexes[key] = build_index(_repeated(spark, sf), profile, path)
+    return _indexes[key]
+
+
+def _index_repeated_ids(profile: Profile) -> Query:
+    return lambda spark, sf: _repeated_index(spark, sf, profile).weights().select(
+        "doc_id", "term", "tf", "length", F.round("weight", DIGITS).alias("weight")
+    )
+
+
+def _search_repeated_ids(profile: Profile) -> Query:
+    return lambda spark, sf: search(
+        _repeated_index(spark, sf, profile), _benchmark_queries(spark, sf)
+    ).hits
+
+
+def _book_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents of each source, written as one book by lines, and read."""
+    path = Workspace(spark).path("books")
+    table = _table(spark, sf, "documents").filter("text is not null")
+    table.repartition("source").sortWithinPartitions("source", "doc_id").select(
+        "source", F.col("text").alias("value")
+    ).write.partitionBy("source").text(path)
+    return read_book(spark, f"{path}/*", CHUNK_SIZE).select(
+        F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), "chunk_id", "chunk"
+    )
+
+
+def _titles_last(spark: SparkSession, sf: str) -> DataFrame:
+    """One title per language from a file of all documents, the last one of each."""
+    path = Workspace(spark).path("titles-lines")
+    table = _table(spark, sf, "documents").select("doc_id", "lang", "source")
+    # In parts whose names are in the order of the ids.
+    table.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select(
+        F.concat_ws("\t", "lang", "doc_id", "source").alias("value")
+    ).write.text(path)
+    return one_title_per_id(read_titles_lines(spark, path, places=True), keep="last")
+
+
+def _empty_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """What a search gives for missing query and title files: rows of each."""
+    missing = Workspace(spark).path("missing")
+    none = read_queries(spark, missing, missing_ok=True)
+    titles = read_titles_tsv(spark, missing, missing_ok=True)
+    index = _index(spark, sf, NORMALIZED)
+    nothing = search(index, none, titles=titles)
+    untitled = search(index, _benchmark_queries(spark, sf), titles=titles).hits
+    count = lambda table, name: table.agg(F.count("*").alias("n")).select(F.lit(name).alias("input"), "n")
+    return (
+        count(none, "queries")
+        .unionByName(count(nothing.hits, "hits"))
+        .unionByName(count(nothing.status, "status"))
+        .unionByName(count(untitled.filter(F.col("title") == NORMALIZED.default_title), "untitled"))
+    )
+
+
 def _mention_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_mentions(extract_mentions(chunk_texts(_documents(spark, sf))))
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 from termloom.functions.stop_words import ENGLISH
 from termloom.operators.mentions import CAPITALISED_RUN
 
+CUSTOM_STOPS = ["on", "erin", "thing", "st", "france"]
+OWN_STOPS = ", ".join(f"'{word}'" for word in CUSTOM_STOPS)
+# Sources repeat, and are null for one of them.
+REPEATED = "nullif(source, 'src0')"
 STOPS = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH)
 # Written out, since \s means other things in other dialects.
 ASCII_SPACE = r"\x09-\x0d "
@@ -29,21 +33,23 @@ def split(cleaned: str) -> str:
     )
 
 
-def stopped(tokens: str) -> str:
-    return f"list_filter({tokens}, lambda x: x NOT IN ({STOPS}))"
+def stopped(tokens: str, stops: str = STOPS) -> str:
+    return f"list_filter({tokens}, lambda x: x NOT IN ({stops}))"
 
 
-def toks(kind: str) -> str:
+def toks(kind: str, doc_id: str = "doc_id", stops: str = STOPS) -> str:
     """CTE of (doc_id, tokens)."""
     return f"""toks AS (
-  SELECT doc_id, {stopped(split('c'))} AS tokens
-  FROM (SELECT doc_id, {clean(kind, 'text')} AS c FROM documents WHERE text IS NOT NULL)
+  SELECT doc_id, {stopped(split('c'), stops)} AS tokens
+  FROM (
+    SELECT {doc_id} AS doc_id, {clean(kind, 'text')} AS c FROM documents WHERE text IS NOT NULL
+  )
 )"""
 
 
-def counts(kind: str) -> str:
+def counts(kind: str, doc_id: str = "doc_id", stops: str = STOPS) -> str:
     """CTEs n, toks, tf, df, len."""
-    return f"""{toks(kind)},
+    return f"""{toks(kind, doc_id, stops)},
 n AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL),
 tf AS (
   SELECT doc_id, term, count(*) AS tf
@@ -60,53 +66,52 @@ def idf(profile: str, df: str = "df") -> str:
     return f"ln(n / {df})" if profile == "normalized" else f"ln((n + 1) / ({df} + 1))"
 
 
-def weights(profile: str) -> str:
+def weights(profile: str, doc_id: str = "doc_id", stops: str = STOPS) -> str:
     """CTEs up to w (doc_id, term, weight) and norms."""
     tf = "(tf / length)" if profile == "normalized" else "tf"
-    return f"""{counts(KIND[profile])},
+    return f"""{counts(KIND[profile], doc_id, stops)},
 w AS (
-  SELECT doc_id, term, {tf} * {idf(profile)} AS weight
-  FROM tf JOIN df USING (term) JOIN len USING (doc_id), n
+  SELECT tf.doc_id, tf.term, tf, length, {tf} * {idf(profile)} AS weight
+  FROM tf JOIN df USING (term) JOIN len ON tf.doc_id IS NOT DISTINCT FROM len.doc_id, n
 ),
 norms AS (
   SELECT doc_id, any_value(length) AS length, sqrt(sum(weight * weight)) AS norm
-  FROM w JOIN len USING (doc_id) GROUP BY doc_id
+  FROM w GROUP BY doc_id
 )"""
 
 
 BENCHMARK = "SELECT item_id AS query_id, text AS query_raw FROM benchmark"
-LAST_WORDS = (
-    r"SELECT item_id AS query_id, regexp_extract(text, '([A-Za-z]+)[^A-Za-z]*\z', 1) AS query_raw "
-    "FROM benchmark"
-)
+WORDS = """SELECT item_id * 1000000 + generate_subscripts(words, 1) - 1 AS query_id,
+  unnest(words) AS query_raw
+FROM (SELECT item_id, regexp_extract_all(text, '[A-Za-z]+') AS words FROM benchmark)"""
 MIXED = f"""
   SELECT query_id * 10 AS query_id, query_raw FROM ({BENCHMARK})
-  UNION ALL SELECT query_id * 10 + 1, query_raw FROM ({LAST_WORDS})
-  UNION ALL SELECT query_id * 10 + 2, query_raw || ' ' || query_raw FROM ({LAST_WORDS})
+  UNION ALL SELECT query_id * 10 + 1, query_raw FROM ({WORDS})
+  UNION ALL SELECT query_id * 10 + 2, query_raw || ' ' || query_raw FROM ({WORDS})
   UNION ALL SELECT n_nationkey * 10 + 3, n_name FROM nation
   UNION ALL SELECT r_regionkey * 10 + 4, r_name FROM region
   UNION ALL SELECT r_regionkey * 10 + 5, regexp_replace(r_name, '[A-Z ]', '!', 'g') FROM region
   UNION ALL SELECT r_regionkey * 10 + 6, 'The of AND' FROM region"""
 
 
-def query_tokens(profile: str, queries: str) -> str:
+def query_tokens(profile: str, queries: str, stops: str = STOPS) -> str:
     """CTEs queries and qtoks (query_id, tokens)."""
     if profile == "normalized":
-        tokens = stopped(split(clean("space", "query_raw")))
+        tokens = stopped(split(clean("space", "query_raw")), stops)
     else:
         words = f"string_split_regex({clean('delete', 'query_raw')}, '[{UNICODE_SPACE}]+')"
-        tokens = f"list_filter({stopped(words)}, lambda x: x <> '')"
+        tokens = f"list_filter({stopped(words, stops)}, lambda x: x <> '')"
     return f"""queries AS ({queries}),
 qtoks AS (SELECT CAST(query_id AS BIGINT) AS query_id, {tokens} AS tokens FROM queries)"""
 
 
-def query_side(profile: str, queries: str) -> str:
+def query_side(profile: str, queries: str, stops: str = STOPS) -> str:
     """CTEs queries, qtoks, qv on top of weights()."""
     if profile == "normalized":
         join, df = "JOIN", "df"
     else:
         join, df = "LEFT JOIN", "coalesce(df, 0)"
-    return f"""{query_tokens(profile, queries)},
+    return f"""{query_tokens(profile, queries, stops)},
 qtf AS (
   SELECT query_id, any_value(len) AS len, term, count(*) AS qtf
   FROM (SELECT query_id, len(tokens) AS len, unnest(tokens) AS term FROM qtoks)
@@ -121,6 +126,12 @@ qv AS (
 )"""
 
 
+def significant(x: str) -> str:
+    """Nine significant digits."""
+    shift = f"pow(10.0::DOUBLE, 8 - floor(log10({x})))"
+    return f"CASE WHEN {x} > 0 THEN floor({x} * {shift} + 0.5) / {shift} ELSE {x} END"
+
+
 def hits(profile: str) -> str:
     """CTE hits (query_id, mode, rank, doc_id, score)."""
     part = "weight * qweight" + ("" if profile == "normalized" else " * qtf")
@@ -128,20 +139,23 @@ def hits(profile: str) -> str:
         " CASE WHEN mode = 'single' THEN CAST(doc_id AS VARCHAR) END DESC NULLS LAST,"
     )
     return f"""scored AS (
-  SELECT query_id, 'single' AS mode, doc_id, round(weight, 9) AS score
+  SELECT query_id, 'single' AS mode, doc_id, weight AS score
   FROM qv JOIN w USING (term) WHERE len = 1
   UNION ALL
-  SELECT query_id, 'cosine', doc_id, round(dot / (qnorm * norm), 9)
+  SELECT query_id, 'cosine', doc_id, {significant('cosine')}
   FROM (
-    SELECT query_id, doc_id, sum({part}) AS dot, any_value(qnorm) AS qnorm
-    FROM qv JOIN w USING (term) WHERE len > 1 GROUP BY query_id, doc_id
-  ) JOIN norms USING (doc_id)
-  WHERE dot > 0 AND qnorm > 0 AND norm > 0
+    SELECT query_id, dots.doc_id, dot / (qnorm * norm) AS cosine
+    FROM (
+      SELECT query_id, doc_id, sum({part}) AS dot, any_value(qnorm) AS qnorm
+      FROM qv JOIN w USING (term) WHERE len > 1 GROUP BY query_id, doc_id
+    ) dots JOIN norms ON dots.doc_id IS NOT DISTINCT FROM norms.doc_id
+    WHERE dot > 0 AND qnorm > 0 AND norm > 0
+  )
 ),
 hits AS (
-  SELECT * FROM (
+  SELECT query_id, mode, doc_id, {significant('score')} AS score, rank FROM (
     SELECT query_id, mode, doc_id, score, CAST(row_number() OVER (
-      PARTITION BY query_id ORDER BY score DESC,{tie} doc_id) AS INTEGER) AS rank
+      PARTITION BY query_id ORDER BY score DESC,{tie} doc_id NULLS FIRST) AS INTEGER) AS rank
     FROM scored
   ) WHERE rank <= 10
 )"""
@@ -175,8 +189,13 @@ CHUNKS = f"""chunks AS (
 )"""
 
 
-def mentions(pattern: str) -> str:
-    return f"""{CHUNKS},
+WHOLE = f"""chunks AS (
+  SELECT {JOINED_LINES} AS chunk FROM documents WHERE text IS NOT NULL
+)"""
+
+
+def mentions(pattern: str, chunks: str = CHUNKS) -> str:
+    return f"""{chunks},
 found AS (
   SELECT trim(regexp_replace(m, '[{ASCII_SPACE}]+', ' ', 'g')) AS mention
   FROM (SELECT unnest(regexp_extract_all(chunk, '{pattern}')) AS m FROM chunks)
@@ -201,7 +220,7 @@ def kept_lines() -> str:
 
 
 def statements() -> dict[str, str]:
-    one_line = r"regexp_replace(text, '[\r\n]', ' ', 'g')"
+    one_line = r"regexp_replace(text, '[\r\n\t]', ' ', 'g')"
     top10 = "SELECT mention, n FROM counted ORDER BY n DESC, mention LIMIT 10"
     sql = {
         "corpus_scan": "SELECT doc_id, text FROM documents WHERE text IS NOT NULL",
@@ -232,8 +251,21 @@ FROM ({kept_lines()})""",
         "mention_counts": f"WITH {mentions(CAPITALISED_RUN)} SELECT mention, n FROM counted",
         "mention_counts_custom": f"""WITH {mentions('[A-Z][a-z]+(?: [A-Z][a-z]+)*')}
 SELECT mention, n FROM counted""",
-        "mention_top10": f"WITH {mentions(CAPITALISED_RUN)} {top10}",
-        "mention_listing": f"""WITH {mentions(CAPITALISED_RUN)}
+        "mention_counts_whole": f"WITH {mentions(CAPITALISED_RUN, WHOLE)} SELECT mention, n FROM counted",
+        "mention_top10": f"WITH {mentions(CAPITALISED_RUN, WHOLE)} {top10}",
+        "book_chunks": rf"""WITH books AS (
+  SELECT source, string_agg(regexp_replace(text, '\r\n|\n|\r', ' ', 'g'), ' ' ORDER BY doc_id) AS t
+  FROM documents WHERE text IS NOT NULL GROUP BY source
+)
+SELECT source, CAST(i AS INTEGER) AS chunk_id, substr(t, i * 10000 + 1, 10000) AS chunk
+FROM (SELECT source, t, unnest(range(CAST(ceil(length(t) / 10000) AS BIGINT))) AS i FROM books)""",
+        "titles_last": """SELECT lang AS doc_id, max_by(source, doc_id) AS title
+FROM documents GROUP BY lang""",
+        "empty_inputs": f"""WITH {weights('normalized')}, {query_side('normalized', BENCHMARK)},
+{hits('normalized')}
+SELECT 'queries' AS input, 0 AS n UNION ALL SELECT 'hits', 0 UNION ALL SELECT 'status', 0
+UNION ALL SELECT 'untitled', count(*) FROM hits""",
+        "mention_listing": f"""WITH {mentions(CAPITALISED_RUN, WHOLE)}
 SELECT CASE WHEN length(mention) < 30 THEN rpad(mention, 30, ' ') ELSE mention END
   || ' | ' || CAST(n AS VARCHAR) AS line FROM ({top10})""",
     }
@@ -245,7 +277,7 @@ SELECT doc_id, CAST(generate_subscripts(tokens, 1) - 1 AS INTEGER) AS position,
         default = {"normalized": "[Title Not Found]", "smoothed": "Unknown Movie Name"}[name]
         base = f"WITH {counts(kind)}"
         weighed = f"WITH {weights(name)}"
-        single = f"{weighed}, {query_side(name, LAST_WORDS)}, {hits(name)}"
+        single = f"{weighed}, {query_side(name, WORDS)}, {hits(name)}"
         several = f"{weighed}, {query_side(name, BENCHMARK)}, {hits(name)}"
         mixed = f"{weighed}, {query_side(name, MIXED)}, {hits(name)}"
         titled = f"""SELECT query_id, mode, rank, hits.doc_id, score,
@@ -266,6 +298,22 @@ SELECT doc_id, count(*) AS n_terms, round(sum(weight), 6) AS weight_sum FROM w G
             f"query_headings_{name}": f"""WITH {query_tokens(name, MIXED)}
 SELECT query_id, CASE WHEN len(tokens) = 1 THEN upper(tokens[1])
   ELSE array_to_string(tokens, ' ') END AS heading FROM qtoks""",
+            f"loaded_index_{name}": f"""{several}
+SELECT query_id, rank, doc_id, score FROM hits""",
+            f"search_term_{name}": f"""{weighed}
+SELECT CAST(row_number() OVER (
+    ORDER BY weight DESC,{' CAST(doc_id AS VARCHAR) DESC,' * (name == 'smoothed')} doc_id) AS INTEGER) AS rank,
+  doc_id, {significant('weight')} AS score
+FROM w WHERE term = (SELECT term FROM df ORDER BY df DESC, term LIMIT 1)
+ORDER BY rank LIMIT 10""",
+            f"search_custom_stops_{name}": f"""WITH {weights(name, stops=OWN_STOPS)},
+{query_side(name, MIXED, OWN_STOPS)}, {hits(name)}
+SELECT query_id, mode, rank, doc_id, score FROM hits""",
+            f"index_repeated_ids_{name}": f"""WITH {weights(name, REPEATED)}
+SELECT doc_id, term, tf, length, round(weight, 6) AS weight FROM w""",
+            f"search_repeated_ids_{name}": f"""WITH {weights(name, REPEATED)},
+{query_side(name, BENCHMARK)}, {hits(name)}
+SELECT query_id, mode, rank, doc_id, score FROM hits""",
             f"query_vector_{name}": f"""{weighed}, {query_side(name, BENCHMARK)}
 SELECT query_id, term, qtf, df, round(qweight, 6) AS qweight, round(qnorm, 6) AS qnorm FROM qv""",
             f"single_term_top10_{name}": f"""{single}

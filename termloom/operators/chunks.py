@@ -12,14 +12,19 @@ from termloom.operators.rows import explode_computed
 CHUNK_SIZE = 10_000
 
 
-def chunk_texts(documents: DataFrame, size: int = CHUNK_SIZE) -> DataFrame:
+def chunk_texts(documents: DataFrame, size: int | None = CHUNK_SIZE) -> DataFrame:
     """(doc_id, chunk_id, chunk) for texts held in a column, line ends as spaces.
 
+    Without a size a text is one chunk, and an empty one none.
+
     A line end at the very end of a text goes, as it does when a file is read
     by lines.
     """
     lines = F.regexp_replace(F.regexp_replace("text", r"(\r\n|\n|\r)\z", ""), r"\r\n|\n|\r", " ")
     joined = documents.filter(F.col("text").isNotNull()).select("doc_id", lines.alias("text"))
+    if size is None:
+        whole = joined.filter(F.col("text") != "")
+        return whole.select("doc_id", F.lit(0).alias("chunk_id"), F.col("text").alias("chunk"))
     return explode_computed(
         joined, ["doc_id"], text_chunks(F.col("text"), size), "chunk", position="chunk_id"
     )
@@ -39,18 +44,16 @@ def chunk_lines(lines: DataFrame, size: int = CHUNK_SIZE) -> DataFrame:
         F.concat("value", F.lit(" "))
     )
     pieces = placed.select("path", "start", piece.alias("piece")).filter(F.length("piece") > 0)
-    first = F.floor(F.col("start") / size)
-    last = F.floor((F.col("start") + F.length("piece") - 1) / size)
-    cut = pieces.select("path", "start", "piece", F.explode(F.sequence(first, last)).alias("chunk_id"))
-    begin = F.greatest(F.col("chunk_id") * size, F.col("start"))
-    end = F.least((F.col("chunk_id") + 1) * size, F.col("start") + F.length("piece"))
-    parts = cut.select(
+    # What still fits the chunk a line begins in, and the rest, each cut once.
+    room = (size - F.col("start") % size).cast("int")
+    cut = F.concat(
+        F.array(F.left("piece", room)), text_chunks(F.substr("piece", room + 1), size)
+    )
+    parts = explode_computed(pieces, ["path", "start"], cut, "part", position="k").select(
         "path",
-        F.col("chunk_id").cast("int").alias("chunk_id"),
-        begin.alias("at"),
-        F.substring("piece", (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int")).alias(
-            "part"
-        ),
+        (F.floor(F.col("start") / size) + F.col("k")).cast("int").alias("chunk_id"),
+        F.col("start").alias("at"),
+        "part",
     )
     return (
         parts.groupBy("path", "chunk_id")

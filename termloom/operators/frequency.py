@@ -44,6 +44,27 @@ def document_frequency_distinct(tokens: DataFrame) -> DataFrame:
     )
 
 
-def document_length(tf: DataFrame) -> DataFrame:
-    """(doc_id, length): tokens left in each document."""
-    return tf.groupBy("doc_id").agg(F.sum("tf").alias("length"))
+def document_frequency_by_row(tokens: DataFrame) -> DataFrame:
+    """(term, df) where every row is a document of its own, as unique ids make it.
+
+    Each row's terms are made distinct in place, so one shuffle by term is all.
+    """
+    return (
+        explode_computed(tokens, [], F.array_distinct("tokens"), "term")
+        .groupBy("term")
+        .agg(F.count("*").alias("df"))
+    )
+
+
+def document_length(tokens: DataFrame) -> DataFrame:
+    """(doc_id, length): tokens of each document that has any; rows of one id add up."""
+    return (
+        tokens.filter(F.size("tokens") > 0)
+        .groupBy("doc_id")
+        .agg(F.sum(F.size("tokens")).alias("length"))
+    )
+
+
+def has_unique_ids(documents: DataFrame) -> bool:
+    """Whether no two rows share an id, told by one scan of the ids."""
+    return documents.groupBy("doc_id").count().filter("count > 1").isEmpty()

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The most a broadcast side may hold.
 BROADCAST_ROWS = 500_000
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
-# A longer key never travels with a broadcast head, so that a head of
-# BROADCAST_ROWS keys stays within about the same number of bytes.
+# A longer key travels with a broadcast head as two hashes of it, so that a head
+# of BROADCAST_ROWS keys stays within about the same number of bytes.
 HEAD_KEY_BYTES = 64
-# Pieces a hot key is cut into when a side is too large to broadcast.
-SALTS = 32
+# Facts of one key that one task of a salted join is meant to have.
+FACTS_PER_SALT = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -57,29 +58,60 @@ def join_by_load(
     one is cut in two: keys with at least ``total_load / head_rows`` facts, of
     which there can be no more than ``head_rows``, are broadcast, so hot keys
     never meet in one task; the facts of the other keys are few per key and are
-    joined by a shuffle.
+    joined by a shuffle. A null key is a key like any other.
     """
+    named = dimension.withColumnRenamed(key, "_key")
     if size.broadcastable and size.rows <= head_rows:
-        return facts.join(F.broadcast(dimension.drop(load)), key)
+        one = F.broadcast(named.drop(load))
+        return facts.join(one, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
     threshold = max(1, -(-total_load // head_rows))
-    is_head = (F.col(load) >= threshold) & (
-        F.octet_length(F.col(key).cast("string")) <= HEAD_KEY_BYTES
-    )
-    head = F.broadcast(dimension.filter(is_head).drop(load))
-    tail = dimension.filter(~is_head).drop(load).hint("merge")
-    return facts.join(head, key).unionByName(
-        facts.join(head.select(key), key, "left_anti").join(tail, key)
+    is_head = F.col(load) >= threshold
+    text = facts.schema[key].dataType == T.StringType()
+    head = named.filter(is_head).withColumn("_head", _short("_key", text)).drop(load, "_key")
+    head = F.broadcast(head)
+    tail = named.filter(~is_head).drop(load).hint("merge")
+    marked = facts.withColumn("_short", _short(key, text))
+    in_head = F.col("_short").eqNullSafe(F.col("_head"))
+    others = marked.join(head.select("_head"), in_head, "left_anti")
+    return (
+        marked.join(head, in_head)
+        .drop("_head", "_short")
+        .unionByName(
+            others.join(tail, F.col(key).eqNullSafe(F.col("_key"))).drop("_key", "_short")
+        )
     )
 
 
+def _short(key: str, text: bool) -> Column:
+    """The key, or 128 bits of hashes of one that is long."""
+    if not text:
+        return F.col(key)
+    digest = F.concat(F.lit("\x00"), F.hex(F.xxhash64(key)), F.hex(F.xxhash64(key, F.lit(1))))
+    return F.when(F.octet_length(key) > HEAD_KEY_BYTES, digest).otherwise(F.col(key))
+
+
 def join_salted(
-    facts: DataFrame, lookup: DataFrame, keys: list[str], spread: str, salts: int = SALTS
+    facts: DataFrame, lookup: DataFrame, keys: list[str], spread: str, load: str, total_load: int
 ) -> DataFrame:
-    """Inner join by a shuffle in which each key is spread over ``salts`` tasks.
+    """Inner join by a shuffle in which a hot key is spread over as many tasks as it needs.
 
-    Facts are spread by the hash of ``spread``; the lookup side, the smaller
-    of the two, is repeated once per salt.
+    ``load`` is a column of the lookup that says how many facts its key has,
+    ``total_load`` bounds the sum over all keys. A key gets one salt per
+    FACTS_PER_SALT facts; which keys have more than one is broadcast, and there
+    are no more than BROADCAST_ROWS of them. Facts are spread by the hash of
+    ``spread``; lookup rows are repeated once per salt.
     """
-    salted = facts.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated.hint("merge"), [*keys, "salt"]).drop("salt")
+    per_salt = max(FACTS_PER_SALT, -(-total_load // max(1, BROADCAST_ROWS)))
+    salts = F.greatest(F.lit(1), F.ceil(F.col(load) / per_salt)).cast("int")
+    salted_lookup = lookup.withColumn("_salts", salts)
+    hot = salted_lookup.filter("_salts > 1").select(*keys, "_salts").distinct()
+    spread_over = F.coalesce("_salts", F.lit(1))
+    salted = (
+        facts.join(F.broadcast(hot), keys, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(spread), spread_over).cast("int"))
+        .drop("_salts")
+    )
+    repeated = salted_lookup.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+    ).drop("_salts")
+    return salted.join(repeated.hint("merge"), [*keys, "_salt"]).drop("_salt")

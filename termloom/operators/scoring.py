@@ -9,8 +9,9 @@ from termloom.functions.weights import cosine, document_tf
 from termloom.operators.queries import COSINE, SINGLE
 from termloom.profiles import Profile
 
-# Scores are rounded before they are ranked: sums of doubles depend on the
-# order of addition, and copies of a document must tie.
+# Sums of doubles depend on the order of addition, and copies of a document must
+# tie; so they are rounded before they are ranked, to significant digits, since
+# scores of long documents are small.
 SCORE_DIGITS = 9
 # Pre-selection pieces per query when k is beyond Spark's own group limit.
 TOP_K_PIECES = 64
@@ -19,13 +20,14 @@ TOP_K_PIECES = 64
 def single_term_scores(matches: DataFrame, profile: Profile) -> DataFrame:
     """(query_id, mode, doc_id, score): the TF-IDF weight of the one term.
 
-    A weight of 0, of a term every document has, is still a hit.
+    A weight of 0, of a term every document has, is still a hit. The weight is
+    one product, equal for copies, and is ranked as it is.
     """
     return matches.select(
         "query_id",
         F.lit(SINGLE).alias("mode"),
         "doc_id",
-        F.round(_weight(profile), SCORE_DIGITS).alias("score"),
+        _weight(profile).alias("score"),
     )
 
 
@@ -39,8 +41,9 @@ def cosine_scores(matches: DataFrame, docs: DataFrame, profile: Profile) -> Data
     if profile.repeat_weight:
         part = part * F.col("qtf")
     parts = matches.select("query_id", "doc_id", "qnorm", part.alias("part"))
+    norms = docs.select(F.col("doc_id").alias("_id"), "norm")
     sums = (
-        parts.join(docs.select("doc_id", "norm"), "doc_id")
+        parts.join(norms, F.col("doc_id").eqNullSafe(F.col("_id")))
         .groupBy("query_id", "doc_id")
         .agg(
             F.sum("part").alias("dot"),
@@ -54,10 +57,16 @@ def cosine_scores(matches: DataFrame, docs: DataFrame, profile: Profile) -> Data
         "query_id",
         F.lit(COSINE).alias("mode"),
         "doc_id",
-        F.round(score, SCORE_DIGITS).alias("score"),
+        significant(score).alias("score"),
     )
 
 
+def significant(score: Column, digits: int = SCORE_DIGITS) -> Column:
+    """Rounded to so many significant digits; 0 stays 0."""
+    shift = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(score)))
+    return F.when(score > 0, F.floor(score * shift + 0.5) / shift).otherwise(score)
+
+
 def top_k(scores: DataFrame, k: int, profile: Profile) -> DataFrame:
     """(query_id, mode, rank, doc_id, score), ranks from 1, every tie decided.
 
@@ -84,7 +93,7 @@ def top_k(scores: DataFrame, k: int, profile: Profile) -> DataFrame:
     return (
         scores.withColumn("rank", F.row_number().over(in_query))
         .filter(F.col("rank") <= k)
-        .select("query_id", "mode", "rank", "doc_id", "score")
+        .select("query_id", "mode", "rank", "doc_id", significant(F.col("score")).alias("score"))
     )
 
 

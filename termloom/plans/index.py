@@ -32,12 +32,15 @@ from termloom.operators.frequency import document_frequency
 from termloom.operators.joins import Size, join_by_load, measure
 from termloom.profiles import Profile
 
-# A task's sorted postings come to about 200 MB of Parquet; at 10^13 postings
-# that is 200,000 tasks, which a range shuffle still samples well.
-POSTINGS_PER_TASK = 50_000_000
+# A task's sorted postings come to about 2 GB of Parquet and are sorted with
+# spilling. At 10^13 postings that is 20,000 tasks: few enough for a range shuffle
+# to sample their bounds, and for its blocks, one for every pair of tasks.
+POSTINGS_PER_TASK = 500_000_000
 SMALLEST_TASK = 50_000
+# Small buckets let a search read little. Beyond MANY_BUCKETS they grow with the
+# index until they hold a task's postings, and from there on their number does.
 POSTINGS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 8192
+MANY_BUCKETS = 8192
 
 
 @dataclass(frozen=True)
@@ -50,6 +53,7 @@ class IndexStats:
     buckets: int
     unique_ids: bool
     profile: str
+    stop_words: list[str]
 
 
 @dataclass(frozen=True)
@@ -126,6 +130,7 @@ def build_index(
     the same id are merged first.
     """
     spark = documents.sparkSession
+    stop_words = sorted(set(stop_words))
     doc_id_type = documents.schema["doc_id"].dataType
 
     tokens = tokenize_corpus(documents, profile, stop_words)
@@ -154,7 +159,7 @@ def build_index(
         n_postings = counts.count()
 
     if buckets is None:
-        buckets = min(MAX_BUCKETS, -(-n_postings // POSTINGS_PER_BUCKET))
+        buckets = bucket_count(n_postings)
     buckets = max(1, buckets)
 
     document_frequency(counts).select(
@@ -186,9 +191,10 @@ def build_index(
         buckets=buckets,
         unique_ids=unique_ids,
         profile=profile.to_json(),
+        stop_words=stop_words,
     )
     spark.range(1).select(
-        *[F.lit(getattr(stats, f.name)).cast(f.dataType).alias(f.name) for f in STATS]
+        *[_literal(getattr(stats, f.name)).cast(f.dataType).alias(f.name) for f in STATS]
     ).coalesce(1).write.parquet(f"{path}/stats")
     return TextIndex(spark, path, profile, stats, doc_id_type)
 
@@ -202,6 +208,24 @@ def load_index(spark: SparkSession, path: str) -> TextIndex:
     return TextIndex(spark, path, Profile.from_json(stats.profile), stats, doc_id_type)
 
 
+def bucket_count(n_postings: int) -> int:
+    """Folders for so many postings."""
+    return max(
+        1,
+        min(MANY_BUCKETS, -(-n_postings // POSTINGS_PER_BUCKET)),
+        -(-n_postings // POSTINGS_PER_TASK),
+    )
+
+
+def task_count(n_postings: int, cores: int) -> int:
+    """Tasks for so many postings; small indexes use the cores there are."""
+    return max(1, -(-n_postings // POSTINGS_PER_TASK), min(cores, n_postings // SMALLEST_TASK))
+
+
+def _literal(value) -> Column:
+    return F.array(*[F.lit(item) for item in value]) if isinstance(value, list) else F.lit(value)
+
+
 def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
@@ -229,11 +253,7 @@ def _merge_bags(bags: DataFrame, n_tokens: int, path: str) -> DataFrame:
 
 def _by_term(counts: DataFrame, buckets: int, n_postings: int) -> DataFrame:
     cores = counts.sparkSession.sparkContext.defaultParallelism
-    tasks = max(
-        1,
-        -(-n_postings // POSTINGS_PER_TASK),
-        min(cores, n_postings // SMALLEST_TASK),
-    )
+    tasks = task_count(n_postings, cores)
     order = ["bucket", "term", "doc_id"]
     return (
         counts.withColumn("bucket", _bucket(F.col("term"), buckets))
@@ -270,6 +290,7 @@ STATS = _schema(
     ("buckets", T.LongType()),
     ("unique_ids", T.BooleanType()),
     ("profile", T.StringType()),
+    ("stop_words", T.ArrayType(T.StringType())),
 )
 TERMS = _schema(
     ("term", T.StringType()),

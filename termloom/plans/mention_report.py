@@ -16,12 +16,16 @@ from termloom.operators.mentions import (
 def mention_report(
     documents: DataFrame,
     k: int = 10,
-    size: int = CHUNK_SIZE,
+    size: int | None = None,
     extractor: Extractor | None = None,
 ) -> DataFrame:
     """(mention, n): the k most frequent mentions of (doc_id, text).
 
-    A mention that a chunk end cuts is lost or shortened.
+    The default pattern reads whole texts. With ``size`` texts are cut into
+    chunks of so many characters first, and so they are for an extractor, which
+    may take no more at a time; a mention that a chunk end cuts is lost or
+    shortened.
     """
-    chunks = chunk_texts(documents, size)
-    return top_mentions(count_mentions(extract_mentions(chunks, extractor)), k)
+    if size is None and extractor is not None:
+        size = CHUNK_SIZE
+    return top_mentions(count_mentions(extract_mentions(chunk_texts(documents, size), extractor)), k)

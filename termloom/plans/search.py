@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.functions.stop_words import ENGLISH
 from termloom.functions.weights import document_tf
 from termloom.operators.joins import join_salted, measure
 from termloom.operators.queries import (
@@ -19,7 +18,7 @@ from termloom.operators.queries import (
     tokenize_queries,
     weigh_query_terms,
 )
-from termloom.operators.scoring import SCORE_DIGITS, cosine_scores, single_term_scores, top_k
+from termloom.operators.scoring import cosine_scores, single_term_scores, top_k
 from termloom.operators.titles import with_titles
 from termloom.plans.index import TextIndex
 from termloom.plans.workspace import Workspace
@@ -37,14 +36,15 @@ def query_vectors(
     index: TextIndex,
     queries: DataFrame,
     workspace: Workspace | None = None,
-    stop_words: Iterable[str] = ENGLISH,
+    stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
     """Weighted terms of all queries, written so that their size is known.
 
-    Without ``stop_words`` of its own a search uses the default list; pass the
-    list the index was built with.
+    Without ``stop_words`` of its own a search uses the list the index was
+    built with.
     """
     workspace = workspace or Workspace(index.spark)
+    stop_words = index.stats.stop_words if stop_words is None else stop_words
     tokenized = tokenize_queries(queries, index.profile, stop_words)
     terms = workspace.save(
         query_terms(tokenized).withColumn("bucket", index.bucket_of(F.col("term"))),
@@ -53,7 +53,9 @@ def query_vectors(
     # The filter is what lets Spark prune the buckets of the term table.
     wanted = terms.filter(F.col("qtf") > 0).select("bucket", "term")
     if measure(terms, "term", "query_id").broadcastable:
-        wanted = F.broadcast(wanted)
+        wanted = F.broadcast(wanted.distinct())
+    else:
+        wanted = wanted.distinct()
     known = index.terms.join(wanted, ["bucket", "term"], "left_semi")
     vectors = weigh_query_terms(terms, known, index.profile, index.stats.n_docs)
     return workspace.save(
@@ -69,7 +71,9 @@ def search_vectors(index: TextIndex, vectors: DataFrame, k: int = 10) -> DataFra
     """
     by_broadcast = measure(vectors, "term", "query_id").broadcastable
     single = _matches(index, vectors.filter(F.col("mode") == SINGLE), by_broadcast)
-    several = _matches(index, vectors.filter(F.col("mode") == COSINE), by_broadcast)
+    # A term that every document has weighs nothing, and its postings are not read.
+    weighty = (F.col("mode") == COSINE) & (F.col("qweight") > 0)
+    several = _matches(index, vectors.filter(weighty), by_broadcast)
     scores = single_term_scores(single, index.profile).unionByName(
         cosine_scores(several, index.docs, index.profile)
     )
@@ -82,8 +86,9 @@ def search(
     k: int = 10,
     titles: DataFrame | None = None,
     default_title: str | None = None,
+    keep_title: str = "least",
     workspace: Workspace | None = None,
-    stop_words: Iterable[str] = ENGLISH,
+    stop_words: Iterable[str] | None = None,
 ) -> SearchResult:
     """Answer (query_id, query_raw): one token ranks by TF-IDF, more by cosine."""
     workspace = workspace or Workspace(index.spark)
@@ -91,7 +96,7 @@ def search(
     hits = workspace.save(search_vectors(index, vectors, k), "hits")
     status = query_status(index, queries, vectors, hits, stop_words)
     if titles is not None:
-        hits = with_titles(hits, titles, default_title or index.profile.default_title)
+        hits = with_titles(hits, titles, default_title or index.profile.default_title, keep_title)
     return SearchResult(hits, status)
 
 
@@ -100,9 +105,10 @@ def query_status(
     queries: DataFrame,
     vectors: DataFrame,
     hits: DataFrame,
-    stop_words: Iterable[str] = ENGLISH,
+    stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
     """What became of each query, and how many hits it has."""
+    stop_words = index.stats.stop_words if stop_words is None else stop_words
     tokenized = tokenize_queries(queries, index.profile, stop_words)
     known = vectors.groupBy("query_id").agg(F.count("*").alias("n_known"))
     found = hits.groupBy("query_id").agg(F.count("*").alias("n_hits"))
@@ -148,7 +154,7 @@ def search_term(index: TextIndex, term: str, k: int = 10) -> DataFrame:
             F.lit(0).alias("query_id"),
             F.lit(SINGLE).alias("mode"),
             "doc_id",
-            F.round(weight, SCORE_DIGITS).alias("score"),
+            weight.alias("score"),
         )
     )
     return top_k(scores, k, index.profile).select("rank", "doc_id", "score")
@@ -167,4 +173,4 @@ def _matches(index: TextIndex, vectors: DataFrame, by_broadcast: bool) -> DataFr
     wanted = vectors.filter(F.col("qtf") > 0).select(*keys).distinct()
     if measure(wanted, "term").broadcastable:
         postings = postings.join(F.broadcast(wanted), keys, "left_semi")
-    return join_salted(postings, vectors, keys, "doc_id")
+    return join_salted(postings, vectors, keys, "doc_id", "df", index.stats.n_postings)

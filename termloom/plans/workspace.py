@@ -20,6 +20,18 @@ class Workspace:
         self.spark = spark
         self.root = f"{(root or _shared_folder(spark)).rstrip('/')}/termloom-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Delete the folder. Lazy results that read its tables end with it."""
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

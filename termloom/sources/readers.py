@@ -11,8 +11,8 @@ from termloom.operators.corpus import corpus
 from termloom.operators.rows import explode_computed
 
 TITLES_SCHEMA = "doc_id string, title string"
+PLACES_SCHEMA = ", path string, block bigint, seq bigint"
 QUERIES_SCHEMA = "query_id bigint, query_raw string"
-SPLIT_BYTES = 128 * 1024 * 1024
 # Fixed value: the number of columns of a title file.
 TITLE_COLUMNS = 9
 
@@ -27,25 +27,20 @@ def read_corpus_tsv(spark: SparkSession, path: str, quote: str = "") -> DataFram
 
 
 def read_corpus_table(
-    spark: SparkSession, path: str, doc_id: str = "doc_id", text: str = "text"
+    spark: SparkSession,
+    path: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """(doc_id, text) from Parquet, ids in the type they have."""
-    return spread_small(corpus(spark.read.parquet(path), doc_id, text), path)
+    """(doc_id, text) from Parquet, ids in the type they have.
 
-
-def spread_small(documents: DataFrame, path: str) -> DataFrame:
-    """Deal the rows of a small input out over all cores.
-
-    A file splits no further than its row groups, so a few large ones would
-    keep most cores idle while text is tokenised. An input with at least
-    SPLIT_BYTES for every core has splits enough and is left as it is: the
-    rows dealt out never exceed what the cores would read in one round.
+    With ``partitions`` the rows are dealt out over so many: a file splits no
+    further than its row groups, and a few large ones keep cores idle while
+    text is tokenised. That shuffles the texts, so it is for small inputs.
     """
-    spark = documents.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    size = listing.agg(F.sum("length")).first()[0] or 0
-    return documents.repartition(cores) if size < cores * SPLIT_BYTES else documents
+    table = corpus(spark.read.parquet(path), doc_id, text)
+    return table if partitions is None else table.repartition(partitions)
 
 
 def read_titles_tsv(
@@ -63,17 +58,24 @@ def read_titles_tsv(
     )
 
 
-def read_titles_lines(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
-    """(doc_id, title) from lines cut at tabs; lines of under 3 fields go."""
-    return _or_empty(
-        spark, lambda: title_fields(spark.read.text(path)), TITLES_SCHEMA, missing_ok
-    )
+def read_titles_lines(
+    spark: SparkSession, path: str, missing_ok: bool = False, places: bool = False
+) -> DataFrame:
+    """(doc_id, title) from lines cut at tabs; lines of under 3 fields go.
+
+    With ``places`` also where each line stands: path, block, seq.
+    """
+    schema = TITLES_SCHEMA + (PLACES_SCHEMA if places else "")
+    read = file_lines if places else lambda spark, path: spark.read.text(path)
+    return _or_empty(spark, lambda: title_fields(read(spark, path)), schema, missing_ok)
 
 
 def title_fields(lines: DataFrame) -> DataFrame:
     fields = F.split("value", "\t")
     return lines.filter(F.size(fields) > 2).select(
-        F.get(fields, 0).alias("doc_id"), F.get(fields, 2).alias("title")
+        F.get(fields, 0).alias("doc_id"),
+        F.get(fields, 2).alias("title"),
+        *[name for name in lines.columns if name != "value"],
     )
 
 
@@ -136,10 +138,10 @@ def _read_tsv(spark: SparkSession, path: str, schema: str, quote: str) -> DataFr
 
 
 def _or_empty(spark: SparkSession, read, schema: str, missing_ok: bool) -> DataFrame:
-    """With ``missing_ok``, a path that cannot be read gives no rows."""
+    """With ``missing_ok``, a path that does not exist gives no rows."""
     try:
         return read()
-    except AnalysisException:
-        if not missing_ok:
+    except AnalysisException as error:
+        if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)

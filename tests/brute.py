@@ -67,7 +67,8 @@ class Index:
                 hits = []
         else:
             hits = self._cosine(Counter(t for t in tokens if t))
-        hits = [(doc_id, round(score, 9)) for doc_id, score in hits]
+        if len(tokens) > 1:
+            hits = [(doc_id, float(f"{score:.8e}")) for doc_id, score in hits]
         hits.sort(key=lambda hit: hit[0], reverse=self.profile == "smoothed" and len(tokens) == 1)
         hits.sort(key=lambda hit: -hit[1])
         return hits[:k]

@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 
 from termloom import NORMALIZED, SMOOTHED, build_index, mention_report, search_term
 from termloom.operators.corpus import bag_of_words, tokenize_corpus
-from termloom.operators.frequency import document_frequency, term_frequency
-from termloom.plans.search import query_vectors, search_vectors
+from termloom.operators.frequency import (
+    document_frequency,
+    document_frequency_by_row,
+    document_length,
+    has_unique_ids,
+    term_frequency,
+)
+from termloom.plans.index import bucket_count, task_count
+from termloom.plans.search import _matches, query_vectors, search_vectors
 from termloom.plans.workspace import Workspace
 
 
@@ -51,6 +58,47 @@ def test_texts_are_tokenised_once_and_never_in_python(spark, sf, profile):
     assert "lang" not in scan and "source" not in scan
 
 
+def test_counting_documents_deals_out_nothing(spark, sf):
+    import __spark_entry__ as registry
+
+    plan = plan_of(registry.queries()["corpus_count"](spark, sf))
+    assert "RoundRobin" not in plan
+    assert "TakeOrderedAndProject" in plan_of(registry.queries()["sample_5"](spark, sf))
+
+
+@pytest.mark.parametrize("profile", [NORMALIZED, SMOOTHED], ids=lambda p: p.name)
+def test_unique_documents_are_counted_by_one_shuffle(spark, sf, profile):
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    tokens = tokenize_corpus(documents, profile)
+    assert has_unique_ids(documents)
+    for frame in (document_frequency_by_row(tokens), document_length(tokens)):
+        plan = plan_of(frame)
+        assert_native(plan)
+        assert plan.count("Exchange hashpartitioning") == 1
+    assert not has_unique_ids(documents.unionByName(documents.limit(1)))
+    expected = sorted(document_frequency(term_frequency(tokens)).collect())
+    assert sorted(document_frequency_by_row(tokens).collect()) == expected
+
+
+def test_sizes_of_an_index():
+    assert (bucket_count(10**6), task_count(10**6, 8)) == (1, 8)
+    assert (bucket_count(10**10), task_count(10**10, 8)) == (8192, 20)
+    assert (bucket_count(10**13), task_count(10**13, 8)) == (20_000, 20_000)
+    assert (bucket_count(0), task_count(0, 8)) == (1, 1)
+
+
+def test_terms_of_every_document_are_not_read_by_a_cosine_search(spark, workspace):
+    rows = [(str(i), f"star w{i}") for i in range(50)]
+    index = build_index(spark.createDataFrame(rows, "doc_id string, text string"), NORMALIZED, workspace.path("i"))
+    asked = spark.createDataFrame([(1, "star w3")], "query_id bigint, query_raw string")
+    vectors = query_vectors(index, asked, workspace)
+    matched = _matches(index, vectors.filter("mode = 'cosine' and qweight > 0"), True)
+    assert matched.count() == 1
+    assert "qweight" in plan_of(search_vectors(index, vectors))
+    hits = search_vectors(index, vectors).collect()
+    assert [(h.doc_id, h.rank) for h in hits] == [("3", 1)]
+
+
 def test_bags_need_no_shuffle(spark, sf):
     documents = spark.read.parquet(f"{sf}/documents.parquet")
     plan = plan_of(bag_of_words(tokenize_corpus(documents, NORMALIZED)))
@@ -111,4 +159,4 @@ def test_mention_report_is_native_and_takes_ordered(spark, sf):
     plan = plan_of(mention_report(documents))
     assert_native(plan)
     assert "TakeOrderedAndProject" in plan
-    assert plan.count("regexp_extract_all") == 2
+    assert plan.count("regexp_extract_all") == 1

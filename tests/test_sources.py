@@ -1,8 +1,11 @@
+import time
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from termloom.operators.chunks import chunk_texts
+from termloom.operators.titles import one_title_per_id
 from termloom.sources.listings import hit_lines, mention_lines
 from termloom.sources.readers import (
     query_lines,
@@ -152,11 +155,39 @@ def test_books_are_chunked_one_by_one(spark, tmp_path):
     ]
 
 
-def test_small_tables_are_dealt_out(spark, sf):
-    documents = read_corpus_table(spark, f"{sf}/documents.parquet")
-    filled = documents.groupBy(F.spark_partition_id()).count().count()
-    assert filled == spark.sparkContext.defaultParallelism
-    assert documents.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+def test_tables_are_dealt_out_when_asked(spark, sf):
+    path = f"{sf}/documents.parquet"
+    documents = read_corpus_table(spark, path, partitions=5)
+    assert documents.groupBy(F.spark_partition_id()).count().count() == 5
+    assert documents.count() == spark.read.parquet(path).count()
+    plan = read_corpus_table(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_last_title_wins(spark, tmp_path):
+    for name, lines in (("1.txt", "a\t\tOne\nb\t\tTwo\na\t\tThree"), ("2.txt", "b\t\tFour\nc\t\tFive")):
+        (tmp_path / name).write_text(lines)
+    titles = read_titles_lines(spark, str(tmp_path), places=True)
+    kept = {r.doc_id: r.title for r in one_title_per_id(titles, keep="last").collect()}
+    assert kept == {"a": "Three", "b": "Four", "c": "Five"}
+    least = {r.doc_id: r.title for r in one_title_per_id(titles).collect()}
+    assert least == {"a": "One", "b": "Four", "c": "Five"}
+    with pytest.raises(ValueError):
+        one_title_per_id(titles, keep="first")
+
+
+def test_one_long_line_is_as_fast_as_many(spark, tmp_path):
+    text = "".join(f"word{i % 977} " for i in range(700_000))
+    (tmp_path / "long.txt").write_text(text)
+    (tmp_path / "short.txt").write_text("\n".join(text[i : i + 79] for i in range(0, len(text), 79)))
+    seconds = {}
+    for name in ("long", "short", "long"):
+        start = time.perf_counter()
+        chunks = read_book(spark, str(tmp_path / f"{name}.txt"), 10_000).orderBy("chunk_id").collect()
+        seconds[name] = time.perf_counter() - start
+    assert "".join(c.chunk for c in read_book(spark, str(tmp_path / "long.txt"), 10_000).orderBy("chunk_id").collect()) == text
+    assert {len(c.chunk) for c in chunks[:-1]} == {10_000}
+    assert seconds["long"] < 3 * seconds["short"] + 2
 
 
 def test_listings(spark):
