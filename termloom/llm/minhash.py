@@ -13,9 +13,11 @@ shingle are one read.
    the smallest one, which is a row for each member, not for each pair.
 3. Pairs whose signatures agree enough are confirmed on the full sets, made
    anew from both texts, and components are formed.
-4. In buckets that still hold several components all pairs across them are
-   compared, large buckets in blocks, and confirmed in the same way. So every
-   pair that shares a bucket is linked, connected already, or refuted.
+4. Buckets that still hold several components are compared within, large ones
+   block by block: pairs across components whose signatures agree are confirmed
+   on the full sets where they lie, and the links that connect what was apart
+   are kept, fewer than there are members. So every pair that shares a bucket is
+   linked, connected already, or refuted, and no table of pairs is made.
 
 At 24 bands of 5 a pair with similarity 0.8 shares no bucket with a chance of
 0.0001. Agreement is asked for with a margin of five standard deviations.
@@ -48,7 +50,7 @@ COORDINATES = BANDS * ROWS
 PLACES_BITS = 21
 SEED = 8
 # Members of a bucket that are compared with each other at a time.
-BLOCK = 1024
+BLOCK = 512
 # Words whose hashes a worker remembers.
 CACHED_WORDS = 200_000
 
@@ -207,20 +209,25 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return fitting.select("a", "b", "s_a", "s_b").mapInArrow(agree, "a binary, b binary")
 
 
-def _confirmed(
-    documents: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int, workspace: Workspace
-) -> DataFrame:
-    """Pairs whose full sets are similar, from the texts of their classes."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+def _texts(documents: DataFrame, classes: DataFrame, nodes: DataFrame, workspace: Workspace) -> DataFrame:
+    """(node, text) of the classes named, one text each."""
     rows = workspace.save(
-        classes.join(wanted.distinct(), "node", "left_semi").select("node", F.col("row").alias("__row")),
+        classes.join(nodes.distinct(), "node", "left_semi").select("node", F.col("row").alias("__row")),
         "wanted",
     )
     found = documents.select(F.xxhash64("doc_id", "text").alias("__row"), "text").join(
         _small_or_merge(rows, "node"), "__row"
     )
     # Of repeated rows one text is enough.
-    texts = workspace.save(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    return workspace.save(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
+
+
+def _confirmed(
+    documents: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int, workspace: Workspace
+) -> DataFrame:
+    """Pairs whose full sets are similar, from the texts of their classes."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    texts = _texts(documents, classes, ends, workspace)
     joined = pairs.join(texts.toDF("b", "t_b").hint("merge"), "b").join(
         texts.toDF("a", "t_a").hint("merge"), "a"
     )
@@ -240,12 +247,18 @@ def _confirmed(
     return joined.select("a", "b", "t_a", "t_b").mapInArrow(confirm, "a binary, b binary")
 
 
-def _across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Agreeing pairs of different labels in a bucket, (a, b) with a < b.
+def _linked_across(
+    documents: DataFrame, classes: DataFrame, members: DataFrame, words: int, percent: int, workspace: Workspace
+) -> DataFrame:
+    """Links (a, b) that connect different labels of a bucket.
 
     ``members`` has (bucket, node, label, size). A bucket of more than BLOCK
     members is dealt into blocks, and each pair of blocks is a group.
     """
+    texts = _texts(documents, classes, members.select("node"), workspace)
+    known = workspace.save(
+        classes.select("node", "n", "signature").join(texts.hint("merge"), "node"), "members"
+    )
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = members.withColumns(
         {"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")}
@@ -255,38 +268,53 @@ def _across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         "node",
         "label",
         "block",
-    ).join(classes.select("node", "n", "signature").hint("merge"), "node")
+    ).join(known.hint("merge"), "node")
     dealt_out = grouped.repartition("group").sortWithinPartitions("group", "node")
-    needed = least_agreement(percent)
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in key_runs(batches, "group"):
             nodes = rows.column("node").combine_chunks()
-            _, labels = np.unique(np.array(rows.column("label").to_pylist(), object), return_inverse=True)
-            n = rows.column("n").to_numpy()
-            block = rows.column("block").to_numpy()
-            signatures = _matrix(rows.column("signature"))
-            one_block = block.min() == block.max()
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            for i in range(len(n) - 1):
-                rest = slice(i + 1, None)
-                ask = (labels[rest] != labels[i]) & (
-                    100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
-                )
-                if not one_block:
-                    ask &= block[rest] != block[i]
-                others = np.flatnonzero(ask) + i + 1
-                if len(others):
-                    same = (signatures[others] == signatures[i]).sum(1)
-                    others = others[same >= needed]
-                    found.append((np.full(len(others), i), others))
-            if found:
-                a, b = (pa.array(np.concatenate(side)) for side in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([nodes.take(a), nodes.take(b)], names=["a", "b"])
+            a, b = _connecting(rows, words, percent)
+            if a:
+                ends = (nodes.take(pa.array(side, pa.int64())) for side in (a, b))
+                yield pa.RecordBatch.from_arrays(list(ends), names=["a", "b"])
 
     return dealt_out.mapInArrow(compare, "a binary, b binary").distinct()
 
 
+def _connecting(rows: pa.Table, words: int, percent: int) -> tuple[list[int], list[int]]:
+    """Rows of a group that link across what is not connected yet."""
+    _, part = np.unique(np.array(rows.column("label").to_pylist(), object), return_inverse=True)
+    n, block = rows.column("n").to_numpy(), rows.column("block").to_numpy()
+    signatures, texts = _matrix(rows.column("signature")), rows.column("text")
+    one_block = block.min() == block.max()
+    needed = least_agreement(percent)
+    sets: dict[int, np.ndarray] = {}
+
+    def full(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_set(texts[i].as_py(), words)
+        return sets[i]
+
+    first, second = [], []
+    for i in range(len(n) - 1):
+        rest = slice(i + 1, None)
+        ask = (part[rest] != part[i]) & (
+            100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
+        )
+        if not one_block:
+            ask &= block[rest] != block[i]
+        others = np.flatnonzero(ask) + i + 1
+        if len(others):
+            others = others[(signatures[others] == signatures[i]).sum(1) >= needed]
+        for j in others.tolist():
+            if part[i] != part[j] and similar(full(i), full(j), percent):
+                first.append(i)
+                second.append(j)
+                part[part == part[j]] = part[i]
+    return first, second
+
+
 def near_copies(
     documents: DataFrame,
     words: int = WORDS,
@@ -313,13 +341,22 @@ def near_copies(
         "classes",
     )
     bands = workspace.save(_bands(classes), "bands")
-    buckets = workspace.save(
+    buckets = (
         bands.groupBy("bucket")
-        .agg(F.min("node").alias("pivot"), F.count("*").alias("size"))
-        .filter("size > 1"),
+        .agg(
+            F.min("node").alias("pivot"),
+            F.count("*").alias("size"),
+            F.bit_xor(F.xxhash64("node")).alias("x"),
+            F.bit_xor(F.xxhash64("node", F.lit(SEED))).alias("y"),
+        )
+        .filter("size > 1")
+    )
+    # Of buckets with the same members one is enough.
+    buckets = workspace.save(
+        buckets.groupBy("pivot", "size", "x", "y").agg(F.min("bucket").alias("bucket")).drop("x", "y"),
         "buckets",
     )
-    shared = workspace.save(bands.join(_small_or_merge(buckets), "bucket"), "shared")
+    shared = workspace.save(bands.join(_small_or_merge(buckets, "pivot"), "bucket"), "shared")
     stars = (
         shared.filter(F.col("node") != F.col("pivot"))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -343,13 +380,8 @@ def near_copies(
         "split-buckets",
     )
     open_members = labelled.join(_small_or_merge(split), "bucket", "left_semi")
-    more = workspace.save(_across(open_members, classes, percent), "cross-pairs")
-    untested = workspace.save(
-        more.join(candidates, ["a", "b"], "left_anti")
-        .join(candidates.toDF("b", "a"), ["a", "b"], "left_anti"),
-        "untested",
-    )
-    cross = _confirmed(documents, classes, untested, words, percent, workspace)
+    open_members = workspace.save(open_members, "open-members")
+    cross = _linked_across(documents, classes, open_members, words, percent, workspace)
     links = workspace.save(links.unionByName(cross), "links")
     labels = workspace.save(connected_components(links, workspace), "labels")
     return _with_components(sketches, classes, labels, workspace)
