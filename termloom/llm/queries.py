@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.llm import sql
 from termloom.llm.common import remainder
 from termloom.llm.language import identify_language, train_language
 from termloom.llm.minhash import near_copies
@@ -143,4 +144,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.statements()
