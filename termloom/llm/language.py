@@ -229,7 +229,7 @@ def train_language(
     spark = documents.sparkSession
     prepare_workers(spark)
     known = documents.filter(F.col(label).isNotNull() & F.col("text").isNotNull()).select(
-        F.col(label).cast("string").alias("label"), "text"
+        F.col(label).cast("string").alias("label"), "doc_id", "text"
     )
     counts = (
         known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).collect()
@@ -241,7 +241,9 @@ def train_language(
         [(row["label"], min(1.0, texts_per_language / row["count"])) for row in counts],
         "label string, share double",
     )
-    drawn = known.join(F.broadcast(shares), "label").filter(uniform("text", seed=SEED) < F.col("share"))
+    drawn = known.join(F.broadcast(shares), "label").filter(
+        uniform("doc_id", "text", seed=SEED) < F.col("share")
+    )
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,7 +259,10 @@ def train_language(
                 [pa.array(labels, pa.string()), pa.array(rows, pa.binary())], names=["label", "window"]
             )
 
-    sample = drawn.select("label", "text").mapInArrow(cut, "label string, window binary").toPandas()
+    # Rows alike are drawn together, and the limit holds however many they are.
+    most = 2 * texts_per_language * WINDOWS_PER_TEXT * len(languages)
+    sample = drawn.select("label", "text").mapInArrow(cut, "label string, window binary")
+    sample = sample.orderBy(F.xxhash64("window"), "label", "window").limit(most).toPandas()
     sample = sample.sort_values(["label", "window"], ignore_index=True)
     windows = np.frombuffer(b"".join(sample["window"]), np.uint8).reshape(-1, WINDOW)
     index = {language: i for i, language in enumerate(languages)}

@@ -162,7 +162,9 @@ def train_quality(
     # About sample_rows ids, whatever the number of labels.
     drawn = known.filter(uniform("doc_id", seed=SEED) < share)
     texts = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    rows = _features(texts, ["label"]).toPandas()
+    # Ids are drawn, and rows may share one: the limit holds all the same.
+    rows = _features(texts, ["label"]).orderBy(F.xxhash64("features"), "label").limit(4 * sample_rows)
+    rows = rows.toPandas()
     features = np.array(rows["features"].tolist(), float).reshape(-1, N_FEATURES)
     return fit_bradley_terry(features[rows["label"] == 1], features[rows["label"] == 0])
 

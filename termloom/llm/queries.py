@@ -35,7 +35,7 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op2_language(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents")
     held_out = remainder("doc_id", 5) == 0
-    net = train_language(documents.filter(~held_out).select("text", "lang"))
+    net = train_language(documents.filter(~held_out).select("doc_id", "text", "lang"))
     return identify_language(documents.select("doc_id", "text"), net).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score"
     )
