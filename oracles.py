@@ -325,7 +325,7 @@ SELECT query_id, rank, doc_id, score FROM hits WHERE mode = 'cosine'""",
             f"hits_with_titles_{name}": f"{mixed} {titled}",
             f"hit_listing_{name}": f"""{mixed}
 SELECT query_id, rank,
-  CAST(rank AS VARCHAR) || '. ' || title || ' (' || printf('%.4f', score) || ')' AS line
+  CAST(rank AS VARCHAR) || '. ' || title || ' (' || printf('%.4f', floor(score * 10000.0::DOUBLE + 0.5) / 10000.0::DOUBLE) || ')' AS line
 FROM ({titled})""",
         }
     return sql

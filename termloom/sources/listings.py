@@ -13,8 +13,13 @@ MENTION_WIDTH = 30
 
 
 def hit_lines(hits: DataFrame) -> DataFrame:
-    """(query_id, rank, line): rank, title and score."""
-    line = F.format_string(f"%d. %s (%.{SCORE_DECIMALS}f)", "rank", "title", "score")
+    """(query_id, rank, line): rank, title and score.
+
+    The score is rounded before it is printed, since printers differ at halves.
+    """
+    unit = 10.0**SCORE_DECIMALS
+    score = F.floor(F.col("score") * unit + 0.5) / unit
+    line = F.format_string(f"%d. %s (%.{SCORE_DECIMALS}f)", "rank", "title", score)
     return hits.select("query_id", "rank", line.alias("line"))
 
 
