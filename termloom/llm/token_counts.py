@@ -42,11 +42,13 @@ def byte_offsets(text: str, encoded: bytes) -> np.ndarray:
 def allocate(token_ends: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Section of each token, by bytes; OUTSIDE for tokens of none.
 
-    Tokens are consecutive from byte 0, sections ascending and disjoint. The
-    first section that ends after a token's start is its first candidate. Most
-    tokens end before the next one begins; the few that reach further are
-    looked at one by one.
+    Tokens are consecutive from byte 0, sections ascending and disjoint; empty
+    ones hold no bytes. The first section that ends after a token's start is its
+    first candidate. Most tokens end before the next one begins; the few that
+    reach further are looked at one by one.
     """
+    filled = np.flatnonzero(ends > starts)
+    starts, ends = starts[filled], ends[filled]
     token_starts = np.concatenate([[0], token_ends[:-1]]) if len(token_ends) else token_ends
     first = np.searchsorted(ends, token_starts, side="right")
     beyond = np.searchsorted(starts, token_ends, side="left")  # sections that begin before the end
@@ -57,7 +59,7 @@ def allocate(token_ends: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
             starts[low:high], token_starts[token]
         )
         chosen[token] = low + int(np.argmax(held)) if held.max() > 0 else OUTSIDE
-    return chosen
+    return np.append(filled, OUTSIDE)[chosen]
 
 
 def line_spans(text: str) -> list[tuple[int, int]]:

@@ -145,8 +145,10 @@ def test_pairs_rank_good_above_bad():
     assert set(alone.score(good)) == {0.5}
 
 
-def test_kneser_ney_against_plain_counts(spark, documents, workspace):
-    """Log ratios of all pairs equal those of the formulas written out."""
+@pytest.mark.parametrize("listed_from", [1, 100])
+def test_kneser_ney_against_plain_counts(spark, monkeypatch, listed_from):
+    """Log ratios equal those of the formulas written out; pairs not listed back off."""
+    monkeypatch.setattr(toxicity, "MIN_COUNT", listed_from)
     texts = [("x y x y vile x", 1), ("x y z\nz y x", 0), ("vile vile x", 1), ("y z z z x y", 0), ("x y x", 0)]
     from collections import Counter
 
@@ -178,7 +180,8 @@ def test_kneser_ney_against_plain_counts(spark, documents, workspace):
         if not total:
             return lower
         kinds = sum(a == v for a, _ in c)
-        return max(c[v, w] - d, 0) / total + d * kinds / total * lower
+        own = max(c[v, w] - d, 0) / total if listed_from == 1 else 0
+        return own + d * kinds / total * lower
 
     ids = toxicity._word_ids(words)
     for v in ("x", "y", "z", "vile"):
