@@ -15,7 +15,7 @@ CHUNK_SIZE = 10_000
 def chunk_texts(documents: DataFrame, size: int | None = CHUNK_SIZE) -> DataFrame:
     """(doc_id, chunk_id, chunk) for texts held in a column, line ends as spaces.
 
-    Without a size a text is one chunk, and an empty one none.
+    Without a size a text is one chunk.
 
     A line end at the very end of a text goes, as it does when a file is read
     by lines.
@@ -23,8 +23,7 @@ def chunk_texts(documents: DataFrame, size: int | None = CHUNK_SIZE) -> DataFram
     lines = F.regexp_replace(F.regexp_replace("text", r"(\r\n|\n|\r)\z", ""), r"\r\n|\n|\r", " ")
     joined = documents.filter(F.col("text").isNotNull()).select("doc_id", lines.alias("text"))
     if size is None:
-        whole = joined.filter(F.col("text") != "")
-        return whole.select("doc_id", F.lit(0).alias("chunk_id"), F.col("text").alias("chunk"))
+        return joined.select("doc_id", F.lit(0).alias("chunk_id"), F.col("text").alias("chunk"))
     return explode_computed(
         joined, ["doc_id"], text_chunks(F.col("text"), size), "chunk", position="chunk_id"
     )

@@ -57,12 +57,13 @@ def document_frequency_by_row(tokens: DataFrame) -> DataFrame:
 
 
 def document_length(tokens: DataFrame) -> DataFrame:
-    """(doc_id, length): tokens of each document that has any; rows of one id add up."""
-    return (
-        tokens.filter(F.size("tokens") > 0)
-        .groupBy("doc_id")
-        .agg(F.sum(F.size("tokens")).alias("length"))
-    )
+    """(doc_id, length): tokens of each document that has any; rows of one id add up.
+
+    Documents without tokens go after the sum, for a filter on the tokens would
+    have every text tokenised twice.
+    """
+    sizes = tokens.select("doc_id", F.size("tokens").alias("size"))
+    return sizes.groupBy("doc_id").agg(F.sum("size").alias("length")).filter("length > 0")
 
 
 def has_unique_ids(documents: DataFrame) -> bool:

@@ -23,10 +23,12 @@ def extract_mentions(chunks: DataFrame, extractor: Extractor | None = None) -> D
     trained tagger; for one, pass a function from text to names. It runs in
     Arrow batches on the executors, and what it raises fails the job.
     """
-    texts = chunks.filter(F.length("chunk") > 0)
+    texts = chunks
     if extractor is None:
+        # A filter on the chunks would have them worked out twice, and an empty one has no names.
         found = F.regexp_extract_all("chunk", F.lit(CAPITALISED_RUN), F.lit(0))
     else:
+        texts = chunks.filter(F.length("chunk") > 0)
         found = _apply(extractor)("chunk")
     mentions = explode_computed(texts, [], found, "mention").select(
         F.trim(F.regexp_replace("mention", "[\\t-\\r ]+", " ")).alias("mention")
