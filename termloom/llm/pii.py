@@ -68,7 +68,7 @@ KINDS = [
     Kind(
         "card",
         _at_run_start("[0-9]") + r"[0-9](?:[\x20-]?[0-9])++",
-        "[0-9][0-9]",
+        r"[0-9][\x20-]?[0-9]",
         0.7,
         r"(?i)card|visa|credit|payment",
     ),

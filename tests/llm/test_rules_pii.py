@@ -151,6 +151,14 @@ def test_pii_query_against_brute_force(spark):
             assert row[f"n_{kind}"] == sum(s.startswith(kind + ":") for s in expected.split(","))
 
 
+@pytest.mark.parametrize("separator", [" ", "-"])
+def test_card_numbers_with_a_separator_after_every_digit(documents, separator):
+    text = "paid by " + separator.join("4111111111111111") + " today"
+    table = documents([(1, text)])
+    assert find_pii(table).select(span_text("spans", BASE)).first()[0] == brute_spans(text) == "card:8:39"
+    assert redact(table).first().text == "paid by <card> today"
+
+
 def test_no_python_on_the_main_path(documents):
     table = documents([(1, "a@b.cd")])
     for result in (find_pii(table), redact(table), quality_rules(table)):
