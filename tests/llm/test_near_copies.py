@@ -207,6 +207,21 @@ def test_vector_links_against_brute_force(spark, vector_rows, workspace, monkeyp
     assert got == expected
 
 
+def test_links_between_saturated_groups(spark, workspace, monkeypatch):
+    """One link between two groups whose vectors all have nearer links than they can list."""
+    monkeypatch.setattr(neighbours, "AUDITED", 1)
+    rng = np.random.default_rng(4)
+    degrees = np.concatenate([rng.uniform(-0.3, 0.3, 150), 28 + rng.uniform(-0.3, 0.3, 150), [1.5, 26.5]])
+    plane = np.column_stack([np.cos(np.radians(degrees)), np.sin(np.radians(degrees))])
+    vectors = np.hstack([plane, rng.normal(0, 0.001, (len(plane), 14))])
+    rows = [(i, [float(x) for x in vector]) for i, vector in enumerate(vectors)]
+    links, components = brute_links(rows)
+    assert set(components) == {0} and max(links) == 151
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = near_vectors(table, neighbours=8, workspace=workspace).orderBy("vec_id").collect()
+    assert [(r.n_links, r.component_id) for r in found] == list(zip(links, components, strict=True))
+
+
 def test_no_vectors(spark, workspace):
     for rows in ([], [(1, None)], [(1, [1.0, 0.0])]):
         table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
