@@ -52,6 +52,8 @@ MAX_ROUNDS = 6
 SETTLED = 0.01
 # Members of a component that are compared with each other at a time.
 COMPONENT_BLOCK = 128
+# Vectors around one vector that are compared in one group; more are dealt.
+HUB_BLOCK = 512
 AUDITED = 512
 MAX_ENLARGED = 3
 SEED = 3
@@ -228,7 +230,11 @@ def _merged(entries: DataFrame, k: int) -> DataFrame:
 def _around(
     lists: DataFrame, points: DataFrame, k: int, workspace: Workspace, inside: DataFrame | None = None
 ) -> DataFrame:
-    """(group, block, node, unit, label, worst): the vectors in the lists around each vector."""
+    """(group, block, node, unit, label, worst): the vectors in the lists around each vector.
+
+    More than HUB_BLOCK around one are dealt into blocks, and each pair of blocks
+    is a group, so no group grows with the lists a vector stands in.
+    """
     near = lists.select("node", "near")
     near = near if inside is None else near.unionByName(inside.select("node", "near"))
     pairs = near.select("node", F.explode("near").alias("near"))
@@ -238,7 +244,20 @@ def _around(
         .unionByName(points.select(F.col("node").alias("hub"), "node"))
     )
     known = points.join(lists.select("node", "worst").hint("merge"), "node", "left")
-    dealt = members.select(F.col("hub").alias("group"), F.lit(0).alias("block"), "node")
+    crowded = members.groupBy("hub").count().filter(F.col("count") > HUB_BLOCK)
+    crowded = workspace.save(crowded, "crowded")
+    side = F.broadcast(crowded) if measure(crowded).broadcastable else crowded.hint("merge")
+    blocks = F.coalesce(F.ceil(F.col("count") / HUB_BLOCK), F.lit(1)).cast("int")
+    dealt = (
+        members.join(side, "hub", "left")
+        .withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node", "hub"), blocks).cast("int")})
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.xxhash64("hub", F.least("block", "other"), F.greatest("block", "other")).alias("group"),
+            "block",
+            "node",
+        )
+    )
     return dealt.join(known.hint("merge"), "node").select(
         "group",
         "block",

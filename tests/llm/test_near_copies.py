@@ -222,6 +222,33 @@ def test_links_between_saturated_groups(spark, workspace, monkeypatch):
     assert [(r.n_links, r.component_id) for r in found] == list(zip(links, components, strict=True))
 
 
+@pytest.fixture
+def settled(spark, workspace):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=16)]) for i in range(60)]
+    _, classes = neighbours._classes(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), workspace)
+    points = workspace.save(neighbours._points(classes), "points")
+    first = neighbours._first_lists(points, 60, 4, workspace).withColumn("old", F.lit(False))
+    lists = workspace.save(neighbours._merged(first, 4), "lists")
+    return neighbours._settled(lists, points, 60, 4, workspace), points
+
+
+def test_no_group_grows_with_a_hub(spark, settled, workspace, monkeypatch):
+    _, points = settled
+    nodes = [row.node for row in points.collect()]
+    rows = [(n, [nodes[0]], [0.5], -1.5) for n in nodes[1:]]
+    star = spark.createDataFrame(rows, "node long, near array<long>, cosine array<float>, worst float")
+
+    def found():
+        entries = neighbours._refined(star, points, 60, workspace)
+        return {(r.node, n) for r in entries.collect() for n in r.near}
+
+    assert len(found()) == 60 * 59
+    monkeypatch.setattr(neighbours, "HUB_BLOCK", 8)
+    assert neighbours._around(star, points, 60, workspace).groupBy("group").count().agg(F.max("count")).first()[0] < 40
+    assert len(found()) == 60 * 59
+
+
 def test_no_vectors(spark, workspace):
     for rows in ([], [(1, None)], [(1, [1.0, 0.0])]):
         table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
