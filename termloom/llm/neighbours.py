@@ -243,7 +243,9 @@ def _around(
         .unionByName(pairs.select(F.col("near").alias("hub"), F.col("node").alias("node")))
         .unionByName(points.select(F.col("node").alias("hub"), "node"))
     )
-    known = points.join(lists.select("node", "worst").hint("merge"), "node", "left")
+    # A list shorter than k takes whatever comes, also if it was full before k grew.
+    worst = F.when(F.size("near") >= k, F.col("worst")).otherwise(F.lit(-1.5))
+    known = points.join(lists.select("node", worst.alias("worst")).hint("merge"), "node", "left")
     crowded = members.groupBy("hub").count().filter(F.col("count") > HUB_BLOCK)
     crowded = workspace.save(crowded, "crowded")
     side = F.broadcast(crowded) if measure(crowded).broadcastable else crowded.hint("merge")

@@ -233,6 +233,13 @@ def settled(spark, workspace):
     return neighbours._settled(lists, points, 60, 4, workspace), points
 
 
+def test_lists_grow_when_enlarged(settled, workspace):
+    lists, points = settled
+    assert {len(row.near) for row in lists.collect()} == {4}
+    grown = neighbours._settled(lists, points, 60, 8, workspace)
+    assert {len(row.near) for row in grown.collect()} == {8}
+
+
 def test_no_group_grows_with_a_hub(spark, settled, workspace, monkeypatch):
     _, points = settled
     nodes = [row.node for row in points.collect()]
