@@ -20,8 +20,9 @@ refined on, and what the audit found is linked too. That is done three times at
 most; links still missed then are reported as a warning.
 
 Equal vectors are one class from the beginning; they link with each other and
-with the same others. Vectors that are null, zero, hold null or non-finite
-components, or have another length than most, link with nothing. Null ids take
+with the same others. Vectors of different lengths do not link; each length is
+searched by itself. Vectors that are null, zero, or hold null or non-finite
+components link with nothing. Null ids take
 part; a component's id is the smallest that is not null. Repeated rows are equal
 vectors. Empty tables give no row.
 """
@@ -71,15 +72,6 @@ def _classes(vectors: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataF
     )
     valid = F.coalesce(F.col("vector").isNotNull() & finite & not_zero, F.lit(False))
     rows = rows.select("vec_id", F.when(valid, F.col("vector")).alias("vector"))
-    usual = (
-        rows.filter(F.col("vector").isNotNull())
-        .groupBy(F.size("vector").alias("width"))
-        .count()
-        .orderBy(F.desc("count"), "width")
-        .first()
-    )
-    width = usual["width"] if usual else 0
-    rows = rows.select("vec_id", F.when(F.size("vector") == width, F.col("vector")).alias("vector"))
     grouped = (
         rows.filter(F.col("vector").isNotNull())
         .groupBy("vector")
@@ -493,9 +485,29 @@ def near_vectors(
     prepare_workers(spark)
     workspace = workspace or Workspace(spark)
     rows, classes = _classes(vectors, workspace)
+    widths = sorted(row[0] for row in classes.select(F.size("vector")).distinct().collect())
+    of_class = classes.limit(0).select(
+        "vector", F.col("copies").alias("n_links"), F.col("least_id").alias("component_id")
+    )
+    for width in widths:
+        alike = classes if len(widths) == 1 else classes.filter(F.size("vector") == width)
+        of_class = of_class.unionByName(_of_width(alike, threshold, neighbours, workspace))
+    found = rows.join(of_class.hint("merge"), "vector", "left")
+    return found.select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("component_id", "vec_id").alias("component_id"),
+    )
+
+
+def _of_width(classes: DataFrame, threshold: float, k: int, workspace: Workspace) -> DataFrame:
+    """(vector, n_links, component_id) of classes whose vectors have one length."""
     total = classes.count()
+    if total == 1:
+        return classes.select(
+            "vector", (F.col("copies") - 1).alias("n_links"), F.col("least_id").alias("component_id")
+        )
     points = workspace.save(_points(classes), "points")
-    k = neighbours
     first = _first_lists(points, total, k, workspace)
     lists = workspace.save(_merged(first.withColumn("old", F.lit(False)), k), "lists")
     links = workspace.save(_linked(lists, classes, threshold), "links")
@@ -529,7 +541,7 @@ def near_vectors(
         .agg(F.min("least_id").alias("component_id")),
         "least",
     )
-    of_class = workspace.save(
+    return workspace.save(
         classes.select("vector", "node", "copies", "least_id")
         .join(labels.hint("merge"), "node", "left")
         .join(least.hint("merge"), "label", "left")
@@ -541,9 +553,3 @@ def near_vectors(
         ),
         "of-class",
     )
-    found = rows.join(of_class.hint("merge"), "vector", "left")
-    return found.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-    )

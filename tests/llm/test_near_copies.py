@@ -256,6 +256,13 @@ def test_no_group_grows_with_a_hub(spark, settled, workspace, monkeypatch):
     assert len(found()) == 60 * 59
 
 
+def test_vectors_of_two_lengths(spark, workspace):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.1, 0.0]), (5, [1.0, 0.0, 0.0])]
+    table = spark.createDataFrame(rows + [(6, [1.0])], "vec_id bigint, embedding array<double>")
+    found = near_vectors(table, workspace=workspace).orderBy("vec_id").collect()
+    assert [(r.n_links, r.component_id) for r in found] == [(1, 1), (1, 1), (2, 3), (2, 3), (2, 3), (0, 6)]
+
+
 def test_no_vectors(spark, workspace):
     for rows in ([], [(1, None)], [(1, [1.0, 0.0])]):
         table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
