@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm import sql
+from termloom.llm.alignment import align_tokens
+from termloom.llm.audit import filter_audit
 from termloom.llm.common import remainder
 from termloom.llm.language import identify_language, train_language
+from termloom.llm.lines import drop_repeated_lines
 from termloom.llm.minhash import near_copies
 from termloom.llm.mixing import five_two_one, plan_mix, taken_words
 from termloom.llm.neighbours import near_vectors
@@ -125,6 +128,23 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return align_tokens(_table(spark, sf, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return drop_repeated_lines(_table(spark, sf, "documents")).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -139,6 +159,9 @@ def queries() -> dict[str, Query]:
             op8_near_copies,
             op9_packing,
             op10_pii,
+            op11_alignment,
+            op12_line_dedup,
+            op13_filter_audit,
         )
     }
 

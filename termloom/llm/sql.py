@@ -121,5 +121,91 @@ SELECT documents.doc_id,
 FROM documents LEFT JOIN per_document ON documents.doc_id IS NOT DISTINCT FROM per_document.doc_id"""
 
 
+def line_dedup() -> str:
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    key = f"translate(trim(line, {blanks}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""WITH lines AS (
+  SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+),
+keyed AS (SELECT doc_id, i, line, {key} AS k FROM lines),
+repeated AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+),
+judged AS (
+  SELECT doc_id, i, line, keeper IS NOT NULL AND doc_id <> keeper AS lost
+  FROM keyed LEFT JOIN repeated USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
+def filter_audit() -> str:
+    letters = "ABCDE"
+    failing = " || ".join(f"CASE WHEN {name} THEN '{name}' ELSE '' END" for name in letters)
+    return rf"""WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+),
+split AS (
+  SELECT *, list_filter(string_split_regex(text, '[{SPACE}]+'), lambda x: x <> '') AS words,
+    min(doc_id) OVER (PARTITION BY text) AS least
+  FROM texts
+),
+judged AS (
+  SELECT doc_id, part, len(words) < 200 AS A,
+    100 * len(list_distinct(words)) < 50 * len(words) AS B,
+    100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text) AS C,
+    regexp_matches(text, '[#$%&*|]') AS D, doc_id > least AS E
+  FROM split
+),
+kinds AS (
+  SELECT part, {failing} AS fails, coalesce(quality, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS bad,
+    count(*) AS n
+  FROM judged LEFT JOIN (
+    SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+  ) USING (doc_id) GROUP BY ALL
+),
+names AS (SELECT unnest(string_split('{letters}', '')) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM names a, names b, names c, names d, names e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS f,
+    substr(filter_order, 1, step - 1) AS earlier
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders)
+),
+met AS (
+  SELECT part, filter_order, step, f, n, fails, good, bad, contains(fails, f) AS fails_it,
+    earlier <> '' AND fails <> translate(fails, earlier, '') AS gone
+  FROM kinds, steps
+),
+counted AS (
+  SELECT part, filter_order, step, f,
+    sum(n) FILTER (WHERE NOT gone AND NOT fails_it) AS kept,
+    sum(n) FILTER (WHERE NOT gone AND fails_it) AS removed,
+    sum(n) FILTER (WHERE gone AND fails_it) AS redundant,
+    sum(n) FILTER (WHERE fails = f) AS unique_fails,
+    sum(n) FILTER (WHERE NOT gone AND fails_it AND good) AS good_lost,
+    sum(n) FILTER (WHERE NOT gone AND fails_it AND bad) AS toxic_lost
+  FROM met GROUP BY ALL
+)
+SELECT part, filter_order, step,
+  {", ".join(
+      f"CAST(coalesce({name}, 0) AS BIGINT) AS {name}"
+      for name in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost")
+  )},
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, f), 0) AS BIGINT) AS shapley
+FROM counted"""
+
+
 def statements() -> dict[str, str]:
-    return {"op7_quality_rules": quality_rules(), "op10_pii": personal_data()}
+    return {
+        "op7_quality_rules": quality_rules(),
+        "op10_pii": personal_data(),
+        "op12_line_dedup": line_dedup(),
+        "op13_filter_audit": filter_audit(),
+    }

@@ -71,7 +71,12 @@ class Encoder:
 
     def widths(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of each token."""
-        return _encoding(self._vocabulary.value)[1][ids]
+        return self.all_widths[ids]
+
+    @property
+    def all_widths(self) -> np.ndarray:
+        """Bytes of the token of each id."""
+        return _encoding(self._vocabulary.value)[1]
 
 
 def _parts(text: str) -> Iterator[str]:
