@@ -61,6 +61,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # More than a benchmark text has words, so that its words have numbers of their own.
 WORDS_PER_TEXT = 1_000_000
+# Terms of a vector block, so that sources have many.
+VECTOR_BLOCK = 1_000
+# Characters of chunks that many names cross, and of the text around them.
+SHORT_CHUNK = 1_000
+SHORT_OVERLAP = 500
 # Decimals shown of weights and norms, so that two engines' logarithms agree.
 DIGITS = 6
 
@@ -105,6 +110,8 @@ def queries() -> dict[str, Query]:
         "titles_last": _titles_last,
         "empty_inputs": _empty_inputs,
         "mention_counts_custom": _mention_counts_custom,
+        "mention_counts_overlap": _mention_counts_overlap,
+        "book_mentions": _book_mentions,
         "mention_top10": lambda spark, sf: mention_report(_documents(spark, sf)),
         "mention_listing": lambda spark, sf: mention_lines(mention_report(_documents(spark, sf))),
     }
@@ -122,6 +129,9 @@ def queries() -> dict[str, Query]:
             f"query_vector_{name}": _query_vector(profile),
             f"single_term_top10_{name}": _single_term_top10(profile),
             f"cosine_top10_{name}": _cosine_top10(profile),
+            f"cosine_pruned_{name}": _cosine_pruned(profile),
+            f"vector_blocks_{name}": _vector_blocks(profile),
+            f"top2000_{name}": _top2000(profile),
             f"search_batch_{name}": _search_batch(profile),
             f"search_status_{name}": _search_status(profile),
             f"hits_with_titles_{name}": _hits_with_titles(profile),
@@ -327,6 +337,47 @@ def _cosine_top10(profile: Profile) -> Query:
     return _top10(profile, _benchmark_queries, COSINE)
 
 
+def _cosine_pruned(profile: Profile) -> Query:
+    """The same hits, without scoring the documents that can't be among them."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        index = _index(spark, sf, profile)
+        vectors = query_vectors(index, _benchmark_queries(spark, sf))
+        cosine = vectors.filter(F.col("mode") == COSINE)
+        return search_vectors(index, cosine, prune=True).drop("mode")
+
+    return run
+
+
+def _vector_blocks(profile: Profile) -> Query:
+    """Vectors of documents of any length, in blocks; here a document is all of a source."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        blocks = _repeated_index(spark, sf, profile).vector_blocks(Workspace(spark), VECTOR_BLOCK)
+        weight_sum = F.aggregate("weights", F.lit(0.0), lambda total, w: total + w)
+        return blocks.select(
+            "doc_id",
+            "block",
+            "first_term",
+            "last_term",
+            F.size("terms").cast("bigint").alias("n_terms"),
+            F.round(weight_sum, DIGITS).alias("weight_sum"),
+        )
+
+    return run
+
+
+def _top2000(profile: Profile) -> Query:
+    """More hits than Spark's own group limit has, of every word's search."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        index = _index(spark, sf, profile)
+        vectors = query_vectors(index, _benchmark_queries(spark, sf))
+        return search_vectors(index, vectors, k=2000).drop("mode")
+
+    return run
+
+
 def _search_batch(profile: Profile) -> Query:
     return lambda spark, sf: search(_index(spark, sf, profile), _mixed_queries(spark, sf)).hits
 
@@ -438,14 +489,43 @@ def _search_repeated_ids(profile: Profile) -> Query:
 
 def _book_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The documents of each source, written as one book by lines, and read."""
+    path = _write_books(spark, sf)
+    return read_book(spark, f"{path}/*", CHUNK_SIZE, by_folder=True).select(
+        F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), "chunk_id", "chunk"
+    )
+
+
+def _write_books(spark: SparkSession, sf: str) -> str:
+    """A folder of text files for each source, in parts whose names are in the order of the ids.
+
+    Ranges of (source, id) deal a large source to as many tasks as it needs.
+    """
     path = Workspace(spark).path("books")
     table = _table(spark, sf, "documents").filter("text is not null")
-    table.repartition("source").sortWithinPartitions("source", "doc_id").select(
+    table.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id").select(
         "source", F.col("text").alias("value")
     ).write.partitionBy("source").text(path)
-    return read_book(spark, f"{path}/*", CHUNK_SIZE).select(
-        F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), "chunk_id", "chunk"
-    )
+    return path
+
+
+def _book_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    """Names in the books of all sources, read in short chunks that are seen with their neighbours.
+
+    Of names longer than what a chunk is seen with nothing is said.
+    """
+    path = _write_books(spark, sf)
+    chunks = read_book(spark, f"{path}/*", SHORT_CHUNK, SHORT_OVERLAP, by_folder=True)
+    return count_mentions(_short_names(extract_mentions(chunks)))
+
+
+def _short_names(mentions: DataFrame) -> DataFrame:
+    return mentions.filter(F.length("mention") < SHORT_OVERLAP)
+
+
+def _mention_counts_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """What an extractor finds in short chunks of documents that are seen with their neighbours."""
+    chunks = chunk_texts(_documents(spark, sf), SHORT_CHUNK, SHORT_OVERLAP)
+    return count_mentions(_short_names(extract_mentions(chunks, _plain_names())))
 
 
 def _titles_last(spark: SparkSession, sf: str) -> DataFrame:
@@ -481,6 +561,10 @@ def _mention_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mention_counts_custom(spark: SparkSession, sf: str) -> DataFrame:
+    return count_mentions(extract_mentions(chunk_texts(_documents(spark, sf)), _plain_names()))
+
+
+def _plain_names():
     import re
 
     names = re.compile("[A-Z][a-z]+(?: [A-Z][a-z]+)*")
@@ -488,4 +572,4 @@ def _mention_counts_custom(spark: SparkSession, sf: str) -> DataFrame:
     def extractor(text: str) -> list[str]:
         return names.findall(text)
 
-    return count_mentions(extract_mentions(chunk_texts(_documents(spark, sf)), extractor))
+    return extractor

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from termloom.functions.stop_words import ENGLISH
-from termloom.operators.mentions import CAPITALISED_RUN
 
 CUSTOM_STOPS = ["on", "erin", "thing", "st", "france"]
 OWN_STOPS = ", ".join(f"'{word}'" for word in CUSTOM_STOPS)
 # Sources repeat, and are null for one of them.
 REPEATED = "nullif(source, 'src0')"
 STOPS = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH)
+# Two or more capitalised words, written for an engine that knows no possessive quantifiers.
+SEVERAL_CAPITALISED = r"\p{Lu}[\p{L}\p{N}]*(?:[\t-\r ]+\p{Lu}[\p{L}\p{N}]*)+"
+PLAIN_NAMES = "[A-Z][a-z]+(?: [A-Z][a-z]+)*"
 # Written out, since \s means other things in other dialects.
 ASCII_SPACE = r"\x09-\x0d "
 UNICODE_SPACE = (
@@ -66,6 +68,12 @@ def idf(profile: str, df: str = "df") -> str:
     return f"ln(n / {df})" if profile == "normalized" else f"ln((n + 1) / ({df} + 1))"
 
 
+def exact_sum(x: str, bits: int) -> str:
+    """A sum in fixed point, in whole numbers, so that no order of addition matters."""
+    unit = f"{2.0**bits!r}::DOUBLE"
+    return f"CAST(sum(CAST(floor(({x}) * {unit}) AS HUGEINT)) AS DOUBLE) / {unit}"
+
+
 def weights(profile: str, doc_id: str = "doc_id", stops: str = STOPS) -> str:
     """CTEs up to w (doc_id, term, weight) and norms."""
     tf = "(tf / length)" if profile == "normalized" else "tf"
@@ -75,7 +83,7 @@ w AS (
   FROM tf JOIN df USING (term) JOIN len ON tf.doc_id IS NOT DISTINCT FROM len.doc_id, n
 ),
 norms AS (
-  SELECT doc_id, any_value(length) AS length, sqrt(sum(weight * weight)) AS norm
+  SELECT doc_id, any_value(length) AS length, sqrt({exact_sum('weight * weight', 64)}) AS norm
   FROM w GROUP BY doc_id
 )"""
 
@@ -122,7 +130,9 @@ qw AS (
   FROM qtf {join} df USING (term), n
 ),
 qv AS (
-  SELECT *, sqrt(sum(qweight * qweight) OVER (PARTITION BY query_id)) AS qnorm FROM qw
+  SELECT qw.*, qnorm FROM qw JOIN (
+    SELECT query_id, sqrt({exact_sum('qweight * qweight', 64)}) AS qnorm FROM qw GROUP BY query_id
+  ) USING (query_id)
 )"""
 
 
@@ -132,9 +142,10 @@ def significant(x: str) -> str:
     return f"CASE WHEN {x} > 0 THEN floor({x} * {shift} + 0.5) / {shift} ELSE {x} END"
 
 
-def hits(profile: str) -> str:
+def hits(profile: str, k: int = 10) -> str:
     """CTE hits (query_id, mode, rank, doc_id, score)."""
-    part = "weight * qweight" + ("" if profile == "normalized" else " * qtf")
+    part = "(weight / nullif(norm, 0)) * (qweight / nullif(qnorm, 0))"
+    part += "" if profile == "normalized" else " * qtf"
     tie = "" if profile == "normalized" else (
         " CASE WHEN mode = 'single' THEN CAST(doc_id AS VARCHAR) END DESC NULLS LAST,"
     )
@@ -142,22 +153,19 @@ def hits(profile: str) -> str:
   SELECT query_id, 'single' AS mode, doc_id, weight AS score
   FROM qv JOIN w USING (term) WHERE len = 1
   UNION ALL
-  SELECT query_id, 'cosine', doc_id, {significant('cosine')}
+  SELECT query_id, 'cosine', doc_id, cosine
   FROM (
-    SELECT query_id, dots.doc_id, dot / (qnorm * norm) AS cosine
-    FROM (
-      SELECT query_id, doc_id, sum({part}) AS dot, any_value(qnorm) AS qnorm
-      FROM qv JOIN w USING (term) WHERE len > 1 GROUP BY query_id, doc_id
-    ) dots JOIN norms ON dots.doc_id IS NOT DISTINCT FROM norms.doc_id
-    WHERE dot > 0 AND qnorm > 0 AND norm > 0
-  )
+    SELECT query_id, w.doc_id, {exact_sum(part, 88)} AS cosine
+    FROM qv JOIN w USING (term) JOIN norms ON w.doc_id IS NOT DISTINCT FROM norms.doc_id
+    WHERE len > 1 GROUP BY query_id, w.doc_id
+  ) WHERE cosine > 0
 ),
 hits AS (
   SELECT query_id, mode, doc_id, {significant('score')} AS score, rank FROM (
     SELECT query_id, mode, doc_id, score, CAST(row_number() OVER (
       PARTITION BY query_id ORDER BY score DESC,{tie} doc_id NULLS FIRST) AS INTEGER) AS rank
     FROM scored
-  ) WHERE rank <= 10
+  ) WHERE rank <= {k}
 )"""
 
 
@@ -194,6 +202,13 @@ WHOLE = f"""chunks AS (
 )"""
 
 
+BOOK_TEXTS = r"""books AS (
+  SELECT source, string_agg(regexp_replace(text, '\r\n|\n|\r', ' ', 'g'), ' ' ORDER BY doc_id) AS t
+  FROM documents WHERE text IS NOT NULL GROUP BY source
+)"""
+BOOKS = f"{BOOK_TEXTS}, chunks AS (SELECT t AS chunk FROM books)"
+
+
 def mentions(pattern: str, chunks: str = CHUNKS) -> str:
     return f"""{chunks},
 found AS (
@@ -248,15 +263,12 @@ FROM ({kept_lines()})""",
         "titles_lines": """SELECT CAST(doc_id AS VARCHAR) AS doc_id,
   CAST(quality AS VARCHAR) AS title FROM labels WHERE toxic = 0""",
         "text_chunks": f"WITH {CHUNKS} SELECT doc_id, chunk_id, chunk FROM chunks",
-        "mention_counts": f"WITH {mentions(CAPITALISED_RUN)} SELECT mention, n FROM counted",
-        "mention_counts_custom": f"""WITH {mentions('[A-Z][a-z]+(?: [A-Z][a-z]+)*')}
+        "mention_counts": f"WITH {mentions(SEVERAL_CAPITALISED)} SELECT mention, n FROM counted",
+        "mention_counts_custom": f"""WITH {mentions(PLAIN_NAMES)}
 SELECT mention, n FROM counted""",
-        "mention_counts_whole": f"WITH {mentions(CAPITALISED_RUN, WHOLE)} SELECT mention, n FROM counted",
-        "mention_top10": f"WITH {mentions(CAPITALISED_RUN, WHOLE)} {top10}",
-        "book_chunks": rf"""WITH books AS (
-  SELECT source, string_agg(regexp_replace(text, '\r\n|\n|\r', ' ', 'g'), ' ' ORDER BY doc_id) AS t
-  FROM documents WHERE text IS NOT NULL GROUP BY source
-)
+        "mention_counts_whole": f"WITH {mentions(SEVERAL_CAPITALISED, WHOLE)} SELECT mention, n FROM counted",
+        "mention_top10": f"WITH {mentions(SEVERAL_CAPITALISED, WHOLE)} {top10}",
+        "book_chunks": rf"""WITH {BOOK_TEXTS}
 SELECT source, CAST(i AS INTEGER) AS chunk_id, substr(t, i * 10000 + 1, 10000) AS chunk
 FROM (SELECT source, t, unnest(range(CAST(ceil(length(t) / 10000) AS BIGINT))) AS i FROM books)""",
         "titles_last": """SELECT lang AS doc_id, max_by(source, doc_id) AS title
@@ -265,7 +277,10 @@ FROM documents GROUP BY lang""",
 {hits('normalized')}
 SELECT 'queries' AS input, 0 AS n UNION ALL SELECT 'hits', 0 UNION ALL SELECT 'status', 0
 UNION ALL SELECT 'untitled', count(*) FROM hits""",
-        "mention_listing": f"""WITH {mentions(CAPITALISED_RUN, WHOLE)}
+        "mention_counts_overlap": f"WITH {mentions(PLAIN_NAMES, WHOLE)} SELECT mention, n FROM counted WHERE length(mention) < 500",
+        "book_mentions": f"""WITH {mentions(SEVERAL_CAPITALISED, BOOKS)}
+SELECT mention, n FROM counted WHERE length(mention) < 500""",
+        "mention_listing": f"""WITH {mentions(SEVERAL_CAPITALISED, WHOLE)}
 SELECT CASE WHEN length(mention) < 30 THEN rpad(mention, 30, ' ') ELSE mention END
   || ' | ' || CAST(n AS VARCHAR) AS line FROM ({top10})""",
     }
@@ -320,6 +335,17 @@ SELECT query_id, term, qtf, df, round(qweight, 6) AS qweight, round(qnorm, 6) AS
 SELECT query_id, rank, doc_id, score FROM hits WHERE mode = 'single'""",
             f"cosine_top10_{name}": f"""{several}
 SELECT query_id, rank, doc_id, score FROM hits WHERE mode = 'cosine'""",
+            f"cosine_pruned_{name}": f"""{several}
+SELECT query_id, rank, doc_id, score FROM hits WHERE mode = 'cosine'""",
+            f"top2000_{name}": f"""{weighed}, {query_side(name, BENCHMARK)}, {hits(name, 2000)}
+SELECT query_id, rank, doc_id, score FROM hits""",
+            f"vector_blocks_{name}": f"""WITH {weights(name, REPEATED)},
+placed AS (
+  SELECT doc_id, term, weight, (row_number() OVER (PARTITION BY doc_id ORDER BY term) - 1) // 1000 AS block
+  FROM w
+)
+SELECT doc_id, block, min(term) AS first_term, max(term) AS last_term, count(*) AS n_terms,
+  round(sum(weight), 6) AS weight_sum FROM placed GROUP BY doc_id, block""",
             f"search_batch_{name}": f"{mixed} SELECT query_id, mode, rank, doc_id, score FROM hits",
             f"search_status_{name}": f"{mixed} {status(name)}",
             f"hits_with_titles_{name}": f"{mixed} {titled}",

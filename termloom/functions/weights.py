@@ -26,5 +26,6 @@ def document_tf(profile: Profile, tf: Column, length: Column) -> Column:
     return tf / length if profile.length_normalized else tf.cast("double")
 
 
-def cosine(dot: Column, query_norm: Column, document_norm: Column) -> Column:
-    return dot / (query_norm * document_norm)
+def share_of(weight: Column, norm: Column) -> Column:
+    """A term's part of its document's vector scaled to length 1; 0 of a vector without length."""
+    return F.coalesce(weight / F.nullif(norm, F.lit(0.0)), F.lit(0.0))

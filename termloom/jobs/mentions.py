@@ -13,7 +13,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from termloom.operators.chunks import CHUNK_SIZE
+from termloom.operators.chunks import CHUNK_SIZE, OVERLAP
 from termloom.operators.mentions import count_mentions, extract_mentions, top_mentions
 from termloom.sources.listings import mention_lines
 from termloom.sources.readers import read_book
@@ -25,7 +25,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     parser.add_argument("output")
     parser.add_argument("--k", type=int, default=10)
     asked = parser.parse_args(arguments)
-    chunks = read_book(spark, asked.books, CHUNK_SIZE)
+    chunks = read_book(spark, asked.books, CHUNK_SIZE, OVERLAP)
     top_mentions(count_mentions(extract_mentions(chunks)), asked.k).write.parquet(
         f"{asked.output}/mentions"
     )

@@ -42,6 +42,11 @@ def measure(table: DataFrame, *keys: str) -> Size:
     return Size(row["rows"], sum(row[key] for key in keys))
 
 
+def broadcast_if_small(table: DataFrame, *keys: str) -> DataFrame:
+    """The table, with a hint if it is measured to be small enough for it."""
+    return F.broadcast(table) if measure(table, *keys).broadcastable else table
+
+
 def join_by_load(
     facts: DataFrame,
     dimension: DataFrame,
@@ -86,7 +91,8 @@ def _short(key: str, text: bool) -> Column:
     """The key, or 128 bits of hashes of one that is long."""
     if not text:
         return F.col(key)
-    digest = F.concat(F.lit("\x00"), F.hex(F.xxhash64(key)), F.hex(F.xxhash64(key, F.lit(1))))
+    # A seed after the key would only hash the first hash once more.
+    digest = F.concat(F.lit("\x00"), F.hex(F.xxhash64(key)), F.hex(F.xxhash64(F.lit(1), key)))
     return F.when(F.octet_length(key) > HEAD_KEY_BYTES, digest).otherwise(F.col(key))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions.exact import SQUARES, exact_sum
 from termloom.functions.stop_words import ENGLISH
 from termloom.functions.text import clean, query_tokens
 from termloom.functions.weights import idf
@@ -72,9 +73,8 @@ def weigh_query_terms(
         df.alias("df"),
         idf(profile, F.lit(n_docs), df).alias("idf"),
     ).withColumn("qweight", F.col("qtf") * F.col("idf"))
-    norms = weighted.groupBy("query_id").agg(
-        F.sqrt(F.sum(F.col("qweight") * F.col("qweight"))).alias("qnorm")
-    )
+    squares = exact_sum(weighted, ["query_id"], F.col("qweight") * F.col("qweight"), "squares", SQUARES)
+    norms = squares.select("query_id", F.sqrt("squares").alias("qnorm"))
     return weighted.join(norms, "query_id").select(
         "query_id", "mode", "term", "qtf", "df", "idf", "qweight", "qnorm"
     )

@@ -1,27 +1,34 @@
-"""Scores of documents for queries, and the best k of them."""
+"""Scores of documents for queries, and the best k of them.
+
+Sums are made in fixed point (`termloom.functions.exact`), so a score depends on
+nothing but the document and the query: copies of a document tie, however rows are
+dealt, and scores that differ are never rounded together before they are ranked.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.weights import cosine, document_tf
+from termloom.functions.exact import SHARES
+from termloom.functions.weights import document_tf, share_of
+from termloom.operators.joins import broadcast_if_small
 from termloom.operators.queries import COSINE, SINGLE
+from termloom.plans.workspace import Workspace
 from termloom.profiles import Profile
 
-# Sums of doubles depend on the order of addition, and copies of a document must
-# tie; so they are rounded before they are ranked, to significant digits, since
-# scores of long documents are small.
+# Significant digits of a score that is shown.
 SCORE_DIGITS = 9
-# Pre-selection pieces per query when k is beyond Spark's own group limit.
-TOP_K_PIECES = 64
+# Beyond Spark's own group limit: bins of scores in each factor of two, and rows a
+# task may be given for each of the k it keeps.
+BINS_PER_OCTAVE = 256
+ROWS_PER_K = 4
 
 
 def single_term_scores(matches: DataFrame, profile: Profile) -> DataFrame:
     """(query_id, mode, doc_id, score): the TF-IDF weight of the one term.
 
-    A weight of 0, of a term every document has, is still a hit. The weight is
-    one product, equal for copies, and is ranked as it is.
+    A weight of 0, of a term every document has, is still a hit.
     """
     return matches.select(
         "query_id",
@@ -31,34 +38,34 @@ def single_term_scores(matches: DataFrame, profile: Profile) -> DataFrame:
     )
 
 
-def cosine_scores(matches: DataFrame, docs: DataFrame, profile: Profile) -> DataFrame:
-    """(query_id, mode, doc_id, score) for documents that share a weighted term.
+def cosine_scores(matches: DataFrame, profile: Profile) -> DataFrame:
+    """(query_id, mode, doc_id, score) for documents that share a weighted term."""
+    return scores_of(add_up(cosine_parts(matches, profile)))
 
-    The norm is joined before the terms are added up: where the join shuffles,
-    it does so by document, and the sums need no shuffle of their own.
-    """
-    part = _weight(profile) * F.col("qweight")
-    if profile.repeat_weight:
-        part = part * F.col("qtf")
-    parts = matches.select("query_id", "doc_id", "qnorm", part.alias("part"))
-    norms = docs.select(F.col("doc_id").alias("_id"), "norm")
-    sums = (
-        parts.join(norms, F.col("doc_id").eqNullSafe(F.col("_id")))
-        .groupBy("query_id", "doc_id")
-        .agg(
-            F.sum("part").alias("dot"),
-            F.max("qnorm").alias("qnorm"),
-            F.max("norm").alias("norm"),
-        )
-        .filter((F.col("dot") > 0) & (F.col("qnorm") > 0) & (F.col("norm") > 0))
-    )
-    score = cosine(F.col("dot"), F.col("qnorm"), F.col("norm"))
+
+def cosine_part(share: Column, profile: Profile) -> Column:
+    """What a posting with this share adds to its document's cosine; it rises with the share."""
+    part = share * share_of(F.col("qweight"), F.col("qnorm"))
+    return part * F.col("qtf") if profile.repeat_weight else part
+
+
+def cosine_parts(matches: DataFrame, profile: Profile) -> DataFrame:
+    """(query_id, doc_id, digits): the parts of all matches."""
+    part = cosine_part(F.col("share"), profile)
+    parts = matches.select("query_id", "doc_id", part.alias("part"))
+    return parts.select("query_id", "doc_id", *SHARES.digits(F.col("part")))
+
+
+def add_up(parts: DataFrame) -> DataFrame:
+    """Parts, or sums of them, summed for each query and document."""
+    return parts.groupBy("query_id", "doc_id").agg(*SHARES.sums())
+
+
+def scores_of(sums: DataFrame) -> DataFrame:
+    """(query_id, mode, doc_id, score) of documents with a cosine above 0."""
     return sums.select(
-        "query_id",
-        F.lit(COSINE).alias("mode"),
-        "doc_id",
-        significant(score).alias("score"),
-    )
+        "query_id", F.lit(COSINE).alias("mode"), "doc_id", SHARES.value().alias("score")
+    ).filter(F.col("score") > 0)
 
 
 def significant(score: Column, digits: int = SCORE_DIGITS) -> Column:
@@ -67,29 +74,20 @@ def significant(score: Column, digits: int = SCORE_DIGITS) -> Column:
     return F.when(score > 0, F.floor(score * shift + 0.5) / shift).otherwise(score)
 
 
-def top_k(scores: DataFrame, k: int, profile: Profile) -> DataFrame:
+def top_k(
+    scores: DataFrame, k: int, profile: Profile, workspace: Workspace | None = None
+) -> DataFrame:
     """(query_id, mode, rank, doc_id, score), ranks from 1, every tie decided.
 
     Spark keeps k rows per query in each task before it shuffles, as long as k
-    is within its group limit; beyond that the same is done with a window over
-    pieces of each query.
+    is within its group limit. Beyond that rows that can't be among the k are
+    dropped first (`select_largest`).
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    order = _order(profile)
-    limit = int(
-        scores.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    )
-    if k > limit:
-        piece = F.pmod(F.xxhash64("doc_id"), F.lit(TOP_K_PIECES))
-        in_piece = Window.partitionBy("query_id", "piece").orderBy(*order)
-        scores = (
-            scores.withColumn("piece", piece)
-            .withColumn("piece_rank", F.row_number().over(in_piece))
-            .filter(F.col("piece_rank") <= k)
-            .drop("piece", "piece_rank")
-        )
-    in_query = Window.partitionBy("query_id").orderBy(*order)
+    if k > group_limit(scores.sparkSession):
+        scores = select_largest(scores, k, profile, workspace or Workspace(scores.sparkSession))
+    in_query = Window.partitionBy("query_id").orderBy(*_order(profile))
     return (
         scores.withColumn("rank", F.row_number().over(in_query))
         .filter(F.col("rank") <= k)
@@ -97,6 +95,65 @@ def top_k(scores: DataFrame, k: int, profile: Profile) -> DataFrame:
     )
 
 
+def group_limit(spark: SparkSession) -> int:
+    """The largest k for which Spark keeps no more than k rows of a group in each task."""
+    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
+def select_largest(
+    scores: DataFrame, k: int, profile: Profile, workspace: Workspace
+) -> DataFrame:
+    """At most ``ROWS_PER_K * k`` rows per query, the best k among them.
+
+    A histogram of each query's scores, with bins that grow with the score, says
+    below which bin no row is among the k. Only the bin of the k-th row can hold
+    many more, most often ties. As long as a query has too many rows left, they are
+    dealt by hash into as many pieces as keep each piece within half that bound,
+    and the best k of each piece stay. So a round leaves a query about half its
+    rows at most, and no task sorts more than a small multiple of k for one query.
+    """
+    bins = F.when(
+        F.col("score") > 0, F.floor(F.log2("score") * BINS_PER_OCTAVE)
+    )
+    scores = workspace.save(scores.withColumn("_bin", bins), "scores")
+    counted = scores.groupBy("query_id", "_bin").agg(F.count("*").alias("n"))
+    above = Window.partitionBy("query_id").orderBy(F.col("_bin").desc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    # Bins before which fewer than k rows stand; scores of 0 come last.
+    wanted = (
+        counted.withColumn("_before", F.coalesce(F.sum("n").over(above), F.lit(0)))
+        .filter(F.col("_before") < k)
+        .groupBy("query_id")
+        .agg(F.min("_bin").alias("_least"), F.max(F.col("_bin").isNull()).alias("_zeros"))
+    )
+    kept = (
+        scores.join(broadcast_if_small(workspace.save(wanted, "bins"), "query_id"), "query_id")
+        .filter(F.when(F.col("_bin").isNull(), F.col("_zeros")).otherwise(F.col("_bin") >= F.col("_least")))
+        .drop("_bin", "_least", "_zeros")
+    )
+    most = ROWS_PER_K * k
+    while True:
+        kept = workspace.save(kept, "kept")
+        sizes = kept.groupBy("query_id").agg(F.count("*").alias("_n"))
+        large = sizes.filter(F.col("_n") > most)
+        if large.isEmpty():
+            return kept
+        pieces = large.select(
+            "query_id", F.ceil(F.col("_n") / (most // 2)).cast("int").alias("_pieces")
+        )
+        pieces = broadcast_if_small(pieces, "query_id")
+        dealt = kept.join(pieces, "query_id", "left").withColumn(
+            "_piece", F.pmod(F.xxhash64("doc_id"), F.coalesce("_pieces", F.lit(1)))
+        )
+        in_piece = Window.partitionBy("query_id", "_piece").orderBy(*_order(profile))
+        kept = (
+            dealt.withColumn("_rank", F.row_number().over(in_piece))
+            .filter((F.col("_rank") <= k) | F.col("_pieces").isNull())
+            .drop("_pieces", "_piece", "_rank")
+        )
+
+
 def _weight(profile: Profile) -> Column:
     return document_tf(profile, F.col("tf"), F.col("length")) * F.col("idf")
 

@@ -6,14 +6,23 @@ Tables under the index path:
 ``lengths``   doc_id, length: only when document ids repeat
 ``counts``    doc_id, term, tf, length: likewise, rows with one id merged
 ``terms``     term, df, idf, bucket: in folders by bucket, sorted by term
-``postings``  term, doc_id, tf, length, bucket: in folders by bucket, sorted
+``postings``  term, tier, doc_id, tf, length, share, bucket: in folders by bucket, sorted
+``blocks``    term, tier, n, top_share, bucket: likewise, postings of a tier and
+              the most that one of them can add to a cosine
 ``docs``      doc_id, length, norm: documents that have at least one token
 ``stats``     one row of totals, written last: an index without it is unfinished
 
 ``bucket`` is a hash of the term. A search joins on it, so Spark prunes the
-folders that hold none of the searched terms before it reads a byte of them.
-Postings keep the factors of a weight rather than the weight: term, idf and
-length repeat and pack to almost nothing, products of them do not.
+folders that hold none of the searched terms before it reads a byte of them. Terms
+have Bloom filters, so a search for few terms skips the files that lack them.
+Postings keep the factors of a weight, which repeat and pack to almost nothing, for
+single-term searches, and the share, weight / norm of the document, for cosines: a
+number of its own in every row, but with it a search needs no join by document.
+
+A term's postings fall into tiers by share: each tier holds the shares within a factor of two. What makes a block is the share
+and not the range of ids, since ids come in no order that means anything: 64 ids in
+a row hold some good document for nearly every query. Terms in few documents have
+one tier. `termloom.plans.pruning` searches by blocks.
 """
 
 from __future__ import annotations
@@ -25,11 +34,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termloom.functions.exact import SQUARES, exact_sum
 from termloom.functions.stop_words import ENGLISH
-from termloom.functions.weights import document_tf, idf
+from termloom.functions.weights import document_tf, idf, share_of
+from termloom.operators.chunks import running_total
 from termloom.operators.corpus import bag_of_words, tokenize_corpus
 from termloom.operators.frequency import document_frequency
 from termloom.operators.joins import Size, join_by_load, measure
+from termloom.plans.workspace import Workspace
 from termloom.profiles import Profile
 
 # A task's sorted postings come to about 2 GB of Parquet and are sorted with
@@ -41,6 +53,11 @@ SMALLEST_TASK = 50_000
 # index until they hold a task's postings, and from there on their number does.
 POSTINGS_PER_BUCKET = 1_000_000
 MANY_BUCKETS = 8192
+# Terms in more documents have tiers. The last one also takes all smaller shares.
+TIERED_FROM = 256
+LAST_TIER = 30
+# Terms of a vector block.
+BLOCK_TERMS = 10_000
 
 
 @dataclass(frozen=True)
@@ -80,6 +97,10 @@ class TextIndex:
             f"{self.path}/postings"
         )
 
+    @property
+    def blocks(self) -> DataFrame:
+        return self.spark.read.schema(BLOCKS).parquet(f"{self.path}/blocks")
+
     @property
     def docs(self) -> DataFrame:
         return self.spark.read.schema(_docs_schema(self.doc_id_type)).parquet(f"{self.path}/docs")
@@ -100,13 +121,14 @@ class TextIndex:
         )
 
     def weights(self) -> DataFrame:
-        """(doc_id, term, tf, length, idf, weight) for the whole corpus."""
+        """(doc_id, term, tf, length, df, idf, weight) for the whole corpus."""
         return _weigh(self.counts(), self.terms, self.profile, self.stats.n_postings, self.term_size)
 
     def vectors(self) -> DataFrame:
         """(doc_id, vector map of term to weight): a view for one-document use.
 
-        Each map is one value, so a document's terms must fit into one row.
+        Each map is one value, so a document's terms must fit into one row;
+        `vector_blocks` has no such bound.
         """
         entry = F.struct("term", "weight")
         return (
@@ -115,6 +137,65 @@ class TextIndex:
             .agg(F.map_from_entries(F.collect_list(entry)).alias("vector"))
         )
 
+    def vector_blocks(self, workspace: Workspace, size: int = BLOCK_TERMS) -> DataFrame:
+        """(doc_id, block, first_term, last_term, terms, weights): vectors of any length.
+
+        Terms rise within a document; every block but its last has ``size`` of
+        them. The table is sorted by document and block, so a lookup by document
+        and range of terms (`vector_entries`) skips the others' row groups.
+
+        Entries are numbered over the whole corpus by totals of short runs, so
+        neither a long document nor a common term is one task's work.
+        """
+        weighed = self.weights().select("doc_id", "term", "weight")
+        order = ["doc_id", "term"]
+        placed = workspace.save(
+            weighed.repartitionByRange(*order).sortWithinPartitions(*order).select(
+                "*",
+                F.lit("").alias("path"),
+                F.spark_partition_id().cast("bigint").alias("block"),
+                F.monotonically_increasing_id().alias("seq"),
+            ),
+            "entries",
+        )
+        numbered = workspace.save(
+            running_total(placed, F.lit(1), "place", by_file=False).select(*order, "weight", "place"),
+            "numbered",
+        )
+        starts = workspace.save(
+            numbered.groupBy("doc_id").agg(F.min("place").alias("start"), F.count("*").alias("n")), "starts"
+        )
+        inside = join_by_load(
+            numbered, starts, "doc_id", "n", self.stats.n_postings, measure(starts, "doc_id")
+        )
+        blocks = (
+            inside.groupBy("doc_id", F.floor((F.col("place") - F.col("start")) / size).alias("block"))
+            .agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("entries"))
+            .select(
+                "doc_id",
+                "block",
+                F.element_at("entries", 1)["term"].alias("first_term"),
+                F.element_at("entries", -1)["term"].alias("last_term"),
+                F.col("entries.term").alias("terms"),
+                F.col("entries.weight").alias("weights"),
+            )
+        )
+        order = ["doc_id", "block"]
+        return workspace.save(blocks.repartitionByRange(*order).sortWithinPartitions(*order), "vectors")
+
+
+def vector_entries(blocks: DataFrame, doc_id, first: str, last: str) -> DataFrame:
+    """(term, weight) of one document's terms from ``first`` to ``last``.
+
+    The three conditions on columns of the blocks reach the Parquet reader.
+    """
+    near = blocks.filter(
+        F.col("doc_id").eqNullSafe(F.lit(doc_id)) & (F.col("last_term") >= first) & (F.col("first_term") <= last)
+    )
+    return near.select(F.inline(F.arrays_zip("terms", "weights"))).select(
+        F.col("terms").alias("term"), F.col("weights").alias("weight")
+    ).filter(F.col("term").between(first, last))
+
 
 def build_index(
     documents: DataFrame,
@@ -162,6 +243,7 @@ def build_index(
         buckets = bucket_count(n_postings)
     buckets = max(1, buckets)
 
+    # Every term stands once here, so a dictionary would only be in the way of the filter.
     document_frequency(counts).select(
         "term",
         "df",
@@ -169,18 +251,23 @@ def build_index(
         _bucket(F.col("term"), buckets).alias("bucket"),
     ).repartition("bucket").sortWithinPartitions("bucket", "term").write.partitionBy(
         "bucket"
-    ).parquet(f"{path}/terms")
+    ).options(**_term_filter(n_postings // buckets, dictionary=False)).parquet(f"{path}/terms")
     terms = spark.read.schema(TERMS).parquet(f"{path}/terms")
     term_size = measure(terms, "term")
 
+    weighed = _weigh(counts, terms, profile, n_postings, term_size)
+    square = F.col("weight") * F.col("weight")
+    exact_sum(
+        weighed, ["doc_id"], square, "squares", SQUARES, F.max("length").alias("length"), F.count("*").alias("n_terms")
+    ).select("doc_id", "length", F.sqrt("squares").alias("norm"), "n_terms").write.parquet(f"{path}/docs")
+    docs = spark.read.schema(_docs_schema(doc_id_type)).parquet(f"{path}/docs")
+
     # The document id is part of the range, so a term in every document is
     # spread over as many tasks as its postings need.
-    _by_term(counts, buckets, n_postings).write.partitionBy("bucket").parquet(f"{path}/postings")
-
-    _weigh(counts, terms, profile, n_postings, term_size).groupBy("doc_id").agg(
-        F.max("length").alias("length"),
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
-    ).write.parquet(f"{path}/docs")
+    _by_term(_tiered(weighed, docs, n_postings), buckets, n_postings).write.partitionBy(
+        "bucket"
+    ).options(**_term_filter(term_size.rows // buckets)).parquet(f"{path}/postings")
+    _blocks(spark, path, doc_id_type)
 
     stats = IndexStats(
         n_docs=n_docs,
@@ -251,27 +338,60 @@ def _merge_bags(bags: DataFrame, n_tokens: int, path: str) -> DataFrame:
     )
 
 
-def _by_term(counts: DataFrame, buckets: int, n_postings: int) -> DataFrame:
-    cores = counts.sparkSession.sparkContext.defaultParallelism
+def _tiered(weighed: DataFrame, docs: DataFrame, n_postings: int) -> DataFrame:
+    """Weighed counts with the tier and the share of each."""
+    norms = docs.select("doc_id", "norm", "n_terms")
+    met = join_by_load(weighed, norms, "doc_id", "n_terms", n_postings, measure(docs, "doc_id"))
+    share = share_of(F.col("weight"), F.col("norm"))
+    octave = F.when(F.col("share") > 0, F.least(F.floor(-F.log2("share")), F.lit(LAST_TIER)))
+    tier = F.when(F.col("df") <= TIERED_FROM, 0).otherwise(F.coalesce(octave, F.lit(LAST_TIER)))
+    return met.withColumn("share", share).withColumn("tier", tier.cast("int"))
+
+
+def _by_term(tiered: DataFrame, buckets: int, n_postings: int) -> DataFrame:
+    cores = tiered.sparkSession.sparkContext.defaultParallelism
     tasks = task_count(n_postings, cores)
-    order = ["bucket", "term", "doc_id"]
+    order = ["bucket", "term", "tier", "doc_id"]
     return (
-        counts.withColumn("bucket", _bucket(F.col("term"), buckets))
+        tiered.withColumn("bucket", _bucket(F.col("term"), buckets))
+        .select("term", "tier", "doc_id", "tf", "length", "share", "bucket")
         .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
-        .select("term", "doc_id", "tf", "length", "bucket")
     )
 
 
+def _blocks(spark: SparkSession, path: str, doc_id_type: T.DataType) -> None:
+    """Sizes and bounds of the tiers, from the written postings."""
+    postings = spark.read.schema(_postings_schema(doc_id_type)).parquet(f"{path}/postings")
+    postings.groupBy("bucket", "term", "tier").agg(
+        F.count("*").alias("n"), F.max("share").alias("top_share")
+    ).select("term", "tier", "n", "top_share", "bucket").repartition("bucket").sortWithinPartitions(
+        "bucket", "term", "tier"
+    ).write.partitionBy("bucket").parquet(f"{path}/blocks")
+
+
+def _term_filter(terms: int, dictionary: bool = True) -> dict[str, str]:
+    """Write options for a Bloom filter on the term, sized for so many terms a file.
+
+    A column that fits its dictionary needs none, and Parquet then writes none.
+    """
+    return {
+        "parquet.bloom.filter.enabled#term": "true",
+        "parquet.bloom.filter.expected.ndv#term": str(max(1000, terms)),
+        "parquet.enable.dictionary#term": str(dictionary).lower(),
+    }
+
+
 def _weigh(
     counts: DataFrame, terms: DataFrame, profile: Profile, n_postings: int, term_size: Size
 ) -> DataFrame:
-    known = terms.select("term", "df", "idf")
-    return join_by_load(counts, known, "term", "df", n_postings, term_size).select(
+    known = terms.select("term", "df", F.col("df").alias("load"), "idf")
+    return join_by_load(counts, known, "term", "load", n_postings, term_size).select(
         "doc_id",
         "term",
         "tf",
         "length",
+        "df",
         "idf",
         (document_tf(profile, F.col("tf"), F.col("length")) * F.col("idf")).alias("weight"),
     )
@@ -292,6 +412,13 @@ STATS = _schema(
     ("profile", T.StringType()),
     ("stop_words", T.ArrayType(T.StringType())),
 )
+BLOCKS = _schema(
+    ("term", T.StringType()),
+    ("tier", T.IntegerType()),
+    ("n", T.LongType()),
+    ("top_share", T.DoubleType()),
+    ("bucket", T.IntegerType()),
+)
 TERMS = _schema(
     ("term", T.StringType()),
     ("df", T.LongType()),
@@ -322,14 +449,19 @@ def _counts_schema(doc_id: T.DataType) -> T.StructType:
 def _postings_schema(doc_id: T.DataType) -> T.StructType:
     return _schema(
         ("term", T.StringType()),
+        ("tier", T.IntegerType()),
         ("doc_id", doc_id),
         ("tf", T.LongType()),
         ("length", T.LongType()),
+        ("share", T.DoubleType()),
         ("bucket", T.IntegerType()),
     )
 
 
 def _docs_schema(doc_id: T.DataType) -> T.StructType:
     return _schema(
-        ("doc_id", doc_id), ("length", T.LongType()), ("norm", T.DoubleType())
+        ("doc_id", doc_id),
+        ("length", T.LongType()),
+        ("norm", T.DoubleType()),
+        ("n_terms", T.LongType()),
     )

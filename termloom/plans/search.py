@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.weights import document_tf
-from termloom.operators.joins import join_salted, measure
+from termloom.operators.joins import Size, join_salted, measure
 from termloom.operators.queries import (
     COSINE,
     NO_TERMS,
@@ -18,11 +18,18 @@ from termloom.operators.queries import (
     tokenize_queries,
     weigh_query_terms,
 )
-from termloom.operators.scoring import cosine_scores, single_term_scores, top_k
+from termloom.operators.scoring import cosine_scores, group_limit, single_term_scores, top_k
 from termloom.operators.titles import with_titles
 from termloom.plans.index import TextIndex
+from termloom.plans.pruning import pruned_cosine_scores
 from termloom.plans.workspace import Workspace
 
+# Postings of a batch's cosine terms that are scored in one pass, without pruning.
+ONE_PASS = 50_000_000
+# Query terms that become part of a filter.
+LITERAL_ROWS = 200
+LITERAL_BYTES = 64 * 1024
+
 
 @dataclass(frozen=True)
 class SearchResult:
@@ -50,34 +57,50 @@ def query_vectors(
         query_terms(tokenized).withColumn("bucket", index.bucket_of(F.col("term"))),
         "query-terms",
     )
-    # The filter is what lets Spark prune the buckets of the term table.
-    wanted = terms.filter(F.col("qtf") > 0).select("bucket", "term")
-    if measure(terms, "term", "query_id").broadcastable:
-        wanted = F.broadcast(wanted.distinct())
+    size = measure(terms, "term", "query_id")
+    literals = literal_terms(terms, size)
+    if literals is not None:
+        known = only_terms(index.terms, literals)
     else:
-        wanted = wanted.distinct()
-    known = index.terms.join(wanted, ["bucket", "term"], "left_semi")
+        # The filter is what lets Spark prune the buckets of the term table.
+        wanted = terms.filter(F.col("qtf") > 0).select("bucket", "term").distinct()
+        wanted = F.broadcast(wanted) if size.broadcastable else wanted
+        known = index.terms.join(wanted, ["bucket", "term"], "left_semi")
     vectors = weigh_query_terms(terms, known, index.profile, index.stats.n_docs)
     return workspace.save(
         vectors.withColumn("bucket", index.bucket_of(F.col("term"))), "query-vectors"
     )
 
 
-def search_vectors(index: TextIndex, vectors: DataFrame, k: int = 10) -> DataFrame:
+def search_vectors(
+    index: TextIndex,
+    vectors: DataFrame,
+    k: int = 10,
+    workspace: Workspace | None = None,
+    prune: bool | None = None,
+) -> DataFrame:
     """The best k hits of every query: (query_id, mode, rank, doc_id, score).
 
     Single-term queries need the postings of their terms and nothing else;
-    the others add up shared terms by document and divide by the norms.
+    the others add up shared terms by document. Where those have more than
+    ``ONE_PASS`` postings in all, or with ``prune``, documents that can't be among
+    the k are left out (`termloom.plans.pruning`); the hits are the same.
     """
-    by_broadcast = measure(vectors, "term", "query_id").broadcastable
-    single = _matches(index, vectors.filter(F.col("mode") == SINGLE), by_broadcast)
+    workspace = workspace or Workspace(index.spark)
+    size = measure(vectors, "term", "query_id")
+    literals = literal_terms(vectors, size)
+    single = _matches(index, vectors.filter(F.col("mode") == SINGLE), size, literals)
     # A term that every document has weighs nothing, and its postings are not read.
-    weighty = (F.col("mode") == COSINE) & (F.col("qweight") > 0)
-    several = _matches(index, vectors.filter(weighty), by_broadcast)
-    scores = single_term_scores(single, index.profile).unionByName(
-        cosine_scores(several, index.docs, index.profile)
-    )
-    return top_k(scores, k, index.profile)
+    weighty = vectors.filter((F.col("mode") == COSINE) & (F.col("qweight") > 0) & (F.col("df") > 0))
+    if prune is None:
+        load = weighty.agg(F.sum("df")).first()[0] or 0
+        prune = load > ONE_PASS and k <= group_limit(index.spark)
+    if prune:
+        cosines = pruned_cosine_scores(index, weighty, k, workspace)
+    else:
+        cosines = cosine_scores(_matches(index, weighty, size, literals), index.profile)
+    scores = single_term_scores(single, index.profile).unionByName(cosines)
+    return top_k(scores, k, index.profile, workspace)
 
 
 def search(
@@ -93,7 +116,7 @@ def search(
     """Answer (query_id, query_raw): one token ranks by TF-IDF, more by cosine."""
     workspace = workspace or Workspace(index.spark)
     vectors = query_vectors(index, queries, workspace, stop_words)
-    hits = workspace.save(search_vectors(index, vectors, k), "hits")
+    hits = workspace.save(search_vectors(index, vectors, k, workspace), "hits")
     status = query_status(index, queries, vectors, hits, stop_words)
     if titles is not None:
         hits = with_titles(hits, titles, default_title or index.profile.default_title, keep_title)
@@ -160,16 +183,38 @@ def search_term(index: TextIndex, term: str, k: int = 10) -> DataFrame:
     return top_k(scores, k, index.profile).select("rank", "doc_id", "score")
 
 
-def _matches(index: TextIndex, vectors: DataFrame, by_broadcast: bool) -> DataFrame:
+def literal_terms(asked: DataFrame, size: Size) -> list[tuple[int, str]] | None:
+    """The (bucket, term) pairs asked for if they are few enough to be written into a filter."""
+    if size.rows > LITERAL_ROWS or size.key_bytes > LITERAL_BYTES:
+        return None
+    return sorted({(row.bucket, row.term) for row in asked.select("bucket", "term").collect()})
+
+
+def only_terms(table: DataFrame, literals: list[tuple[int, str]]) -> DataFrame:
+    """Rows of these terms, by filters that prune folders, files and pages when planned.
+
+    Spark hands lists to Parquet whole up to ten values, and as a range beyond.
+    """
+    buckets = sorted({bucket for bucket, _ in literals})
+    terms = [term for _, term in literals]
+    here = F.lit(False)
+    for start in range(0, len(terms), 10):
+        here = here | F.col("term").isin(terms[start : start + 10])
+    return table.filter(F.col("bucket").isin(buckets) & here)
+
+
+def _matches(
+    index: TextIndex, vectors: DataFrame, size: Size, literals: list[tuple[int, str]] | None = None
+) -> DataFrame:
     """Postings of the query terms, once per query that asks for the term.
 
     Query sets too large to broadcast often ask for few distinct terms; then
     only the postings of those are read and shuffled.
     """
     keys = ["bucket", "term"]
-    if by_broadcast:
-        return index.postings.join(F.broadcast(vectors), keys)
-    postings = index.postings
+    postings = index.postings if literals is None else only_terms(index.postings, literals)
+    if size.broadcastable:
+        return postings.join(F.broadcast(vectors), keys)
     wanted = vectors.filter(F.col("qtf") > 0).select(*keys).distinct()
     if measure(wanted, "term").broadcastable:
         postings = postings.join(F.broadcast(wanted), keys, "left_semi")

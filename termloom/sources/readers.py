@@ -119,9 +119,19 @@ def query_lines(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_book(spark: SparkSession, path: str, size: int) -> DataFrame:
-    """(path, chunk_id, chunk) of text files, each read as one joined text."""
-    return chunk_lines(file_lines(spark, path), size)
+def read_book(
+    spark: SparkSession, path: str, size: int, overlap: int = 0, by_folder: bool = False
+) -> DataFrame:
+    """(path, chunk_id, chunk) of text files, each read as one joined text.
+
+    With ``by_folder`` the files of a folder, in the order of their names, are one
+    text, and ``path`` is the folder; so one text can be written by many tasks.
+    With an overlap also before and after, the text around the chunk.
+    """
+    lines = file_lines(spark, path)
+    if by_folder:
+        lines = lines.withColumn("book", F.regexp_replace("path", "/[^/]*$", ""))
+    return chunk_lines(lines, size, overlap)
 
 
 def _strip(line):

@@ -57,7 +57,7 @@ class Index:
         return math.log((self.n + 1) / (df + 1))
 
     def norm(self, doc_id: str) -> float:
-        return math.sqrt(sum(w * w for w in self.vectors[doc_id].values()))
+        return math.sqrt(math.fsum(w * w for w in self.vectors[doc_id].values()))
 
     def search(self, query: str, k: int = 10) -> list[tuple[str, float]]:
         tokens = query_tokens(query, self.profile)
@@ -67,9 +67,8 @@ class Index:
                 hits = []
         else:
             hits = self._cosine(Counter(t for t in tokens if t))
-        if len(tokens) > 1:
-            hits = [(doc_id, float(f"{score:.8e}")) for doc_id, score in hits]
-        hits.sort(key=lambda hit: hit[0], reverse=self.profile == "smoothed" and len(tokens) == 1)
+        by_id = lambda hit: (hit[0] is not None, hit[0] or "")
+        hits.sort(key=by_id, reverse=self.profile == "smoothed" and len(tokens) == 1)
         hits.sort(key=lambda hit: -hit[1])
         return hits[:k]
 
@@ -77,11 +76,15 @@ class Index:
         if self.profile == "normalized":
             counts = Counter({t: c for t, c in counts.items() if self.df[t] > 0})
         query = {term: count * self.idf(term) for term, count in counts.items()}
-        query_norm = math.sqrt(sum(w * w for w in query.values()))
+        query_norm = math.sqrt(math.fsum(w * w for w in query.values()))
         hits = []
         for doc_id, vector in self.vectors.items():
             repeats = counts if self.profile == "smoothed" else dict.fromkeys(counts, 1)
-            dot = sum(w * vector.get(t, 0.0) * repeats[t] for t, w in query.items())
-            if dot > 0 and query_norm > 0 and self.norm(doc_id) > 0:
-                hits.append((doc_id, dot / (query_norm * self.norm(doc_id))))
+            norm = self.norm(doc_id)
+            if query_norm > 0 and norm > 0:
+                parts = (
+                    vector.get(t, 0.0) / norm * (w / query_norm) * repeats[t] for t, w in query.items()
+                )
+                hits.append((doc_id, math.fsum(parts)))
+        hits = [hit for hit in hits if hit[1] > 0]
         return hits

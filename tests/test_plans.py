@@ -15,6 +15,7 @@ from termloom.operators.frequency import (
     has_unique_ids,
     term_frequency,
 )
+from termloom.operators.joins import measure
 from termloom.plans.index import bucket_count, task_count
 from termloom.plans.search import _matches, query_vectors, search_vectors
 from termloom.plans.workspace import Workspace
@@ -92,7 +93,7 @@ def test_terms_of_every_document_are_not_read_by_a_cosine_search(spark, workspac
     index = build_index(spark.createDataFrame(rows, "doc_id string, text string"), NORMALIZED, workspace.path("i"))
     asked = spark.createDataFrame([(1, "star w3")], "query_id bigint, query_raw string")
     vectors = query_vectors(index, asked, workspace)
-    matched = _matches(index, vectors.filter("mode = 'cosine' and qweight > 0"), True)
+    matched = _matches(index, vectors.filter("mode = 'cosine' and qweight > 0"), measure(vectors, "term"))
     assert matched.count() == 1
     assert "qweight" in plan_of(search_vectors(index, vectors))
     hits = search_vectors(index, vectors).collect()

@@ -1,4 +1,6 @@
+import gzip
 import time
+from collections import Counter
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -204,3 +206,79 @@ def test_listings(spark):
         "Moby Dick".ljust(30) + " | 3",
         "N " * 20 + " | 1",
     ]
+
+
+def book(rows):
+    return " ".join(rows)
+
+
+def windows(text, size, overlap):
+    return {
+        at // size: (text[max(0, at - overlap) : at], text[at : at + size], text[at + size : at + size + overlap])
+        for at in range(0, len(text), size)
+    }
+
+
+@pytest.mark.parametrize("size, overlap", [(10, 10), (10, 3), (64, 20), (1000, 1000)])
+def test_chunks_of_files_with_the_text_around_them(spark, tmp_path, monkeypatch, size, overlap):
+    monkeypatch.setattr("termloom.operators.chunks.RUN_BITS", 2)
+    lines = [f"line {i} " + "é" * (i % 23) for i in range(50)] + ["", "x" * 95, "end"]
+    folder = tmp_path / "books"
+    folder.mkdir()
+    path = write(folder, "a.txt", "\n".join(lines) + "\n")
+    write(folder, "b.txt", "")
+    with gzip.open(f"{folder}/c.txt.gz", "wt") as out:
+        out.write("\n".join(lines * 3))
+    write(folder, "d.txt", "y" * size)
+    got = {}
+    for row in read_book(spark, str(folder), size, overlap).collect():
+        name = row.path.rsplit("/", 1)[1]
+        got.setdefault(name, {})[row.chunk_id] = (row.before, row.chunk, row.after)
+    assert got == {
+        "a.txt": windows(book(lines), size, overlap),
+        "c.txt.gz": windows(book(lines * 3), size, overlap),
+        "d.txt": windows("y" * size, size, overlap),
+    }
+    plain = {row.chunk_id: row.chunk for row in read_book(spark, path, size).collect()}
+    assert plain == {i: own for i, (_, own, _) in windows(book(lines), size, 0).items()}
+
+
+def test_the_files_of_a_folder_are_one_book(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("termloom.operators.chunks.RUN_BITS", 3)
+    texts = {"one": ["a b", "c"] * 9, "two": ["dd"] * 40}
+    for name, lines in texts.items():
+        (tmp_path / name).mkdir()
+        for part in range(3):
+            here = lines[part * len(lines) // 3 : (part + 1) * len(lines) // 3]
+            write(tmp_path / name, f"part-{part:05d}.txt", "".join(line + "\n" for line in here))
+    got = {}
+    for row in read_book(spark, f"{tmp_path}/*", 7, 5, by_folder=True).collect():
+        got.setdefault(row.path.rsplit("/", 1)[1], {})[row.chunk_id] = (row.before, row.chunk, row.after)
+    assert got == {name: windows(book(lines), 7, 5) for name, lines in texts.items()}
+
+
+def test_a_large_source_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A third of the rows is one source; no task writes more than three times the median."""
+    import __spark_entry__ as registry
+
+    rows = spark.range(9000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("source"),
+        F.concat(F.lit("text "), F.col("id")).alias("text"),
+    )
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        path = registry._write_books(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    tasks = Counter()
+    for row in spark.read.text(f"{path}/*").select(F.input_file_name().alias("file")).collect():
+        tasks[row.file.rsplit("/", 1)[1].split("-")[1]] += 1
+    sizes = sorted(tasks.values())
+    assert len(sizes) >= 10 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    books = read_book(spark, f"{path}/*", 10_000, by_folder=True)
+    big = books.filter("path like '%source=big'").orderBy("chunk_id").collect()
+    assert "".join(row.chunk for row in big) == book(f"text {i}" for i in range(0, 9000, 3))
