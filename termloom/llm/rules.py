@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from termloom.llm.common import WORD
 
 GAP = r"[\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\f\r"
 SYMBOLS = r"[^#*$%&|<>]+"
 # Frequent function words of four languages, fixed values.
 STOP_WORDS = (
@@ -61,7 +62,7 @@ def measures(documents: DataFrame) -> DataFrame:
     split = texts.select(
         "doc_id",
         "text",
-        F.split(F.regexp_replace("text", rf"\A{GAP}|{GAP}\z", ""), GAP).alias("words"),
+        F.split(F.btrim("text", F.lit(SPACES)), GAP).alias("words"),
         F.filter(F.split("text", "\n"), lambda line: line.rlike(WORD)).alias("lines"),
     )
     # The words of a text without any are one empty string.
@@ -86,7 +87,7 @@ def measures(documents: DataFrame) -> DataFrame:
         "*",
         F.when(
             F.size(F.array_distinct("hashes")) < F.size("hashes"),
-            F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+            F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ).alias("sorted"),
     )
     places = repeats.select("*", _repeated_places().alias("places"))
