@@ -3,8 +3,11 @@
 Everything is column expressions. A pattern's matches come from
 ``regexp_extract_all``, their places from the texts between them, which
 ``split`` by the same pattern gives: a match starts where the texts and
-matches before it end. The nearby text of a match is the end of the text before
-it and the start of the one after, so the work stays linear in the text.
+matches before it end, which running sums over the array tell (`running`). The
+nearby text of a match is the end of the text before it and the start of the one
+after. So the work follows the text, and its matches as long as they are no more
+than some million: running sums are made in blocks, and there the blocks' number
+begins to tell.
 
 Patterns are written with possessive groups and begin where the last match
 ended or where a run of their first class begins. Both leave the leftmost
@@ -25,6 +28,7 @@ no row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +36,8 @@ from pyspark.sql import functions as F
 
 NEARBY = 40
 CONTEXT_BONUS = 0.3
+# Values of a block of `running`.
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -137,62 +143,106 @@ def _confirmed(kind: Kind, found: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value worked out once; a lambda would work it out in every step."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """What the values before each one come to, from 0, and all of them at the end.
+
+    ``merge`` is a sum or a maximum. Results are appended within blocks, so
+    appending costs each value a block, not the array, and blocks are merged.
+    """
+
+    def append(acc: Column, value: Column) -> Column:
+        return F.concat(acc, F.array(merge(F.element_at(acc, -1), value)))
+
+    def gathered(array: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.size(array) / BLOCK).cast("int"))
+        return F.transform(
+            numbers,
+            lambda i: F.aggregate(
+                F.slice(array, i * BLOCK + 1, F.lit(BLOCK)), F.array(F.lit(0)), append
+            ),
+        )
+
+    def joined(blocks: Column) -> Column:
+        bases = F.aggregate(
+            blocks, F.array(F.lit(0)), lambda acc, block: append(acc, F.element_at(block, -1))
+        )
+        return let(
+            bases,
+            lambda bases: F.concat(
+                F.flatten(
+                    F.transform(
+                        blocks,
+                        lambda block, i: F.transform(
+                            F.slice(block, F.lit(1), F.size(block) - 1),
+                            lambda value: merge(F.get(bases, i), value),
+                        ),
+                    )
+                ),
+                F.array(F.element_at(bases, -1)),
+            ),
+        )
+
+    return let(values, lambda array: let(gathered(array), joined))
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def _spans(kind: Kind) -> Column:
     """Array of (kind, start, end, score, byte_start, byte_end) in ``__text``."""
     text = F.col("__text")
-    pattern = F.lit(kind.pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     between = F.split(text, kind.pattern, -1)
     none = F.filter(
         F.array(_one(kind, F.lit(0), F.lit(0), F.lit(0.0), F.lit(0), F.lit(0))), lambda _: F.lit(False)
     )
-    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("byte_end"), none.alias("spans"))
-    placed = F.arrays_zip(found.alias("found"), F.slice(between, 1, F.size(found)).alias("before"))
-    after = F.slice(between, 2, F.size(found))
-    placed = F.zip_with(
-        placed,
-        after,
-        lambda pair, after: F.struct(
-            pair["found"].alias("found"),
-            F.length(pair["before"]).alias("gap"),
-            F.length(pair["found"]).alias("length"),
-            F.octet_length(pair["before"]).alias("byte_gap"),
-            F.octet_length(pair["found"]).alias("byte_length"),
-            F.concat_ws(
-                " ", F.right(pair["before"], F.lit(NEARBY)), F.left(after, F.lit(NEARBY))
-            ).alias("nearby"),
-        ),
-    )
-    gathered = F.aggregate(
-        placed,
-        zero,
-        lambda acc, m: F.struct(
-            (acc["end"] + m["gap"] + m["length"]).alias("end"),
-            (acc["byte_end"] + m["byte_gap"] + m["byte_length"]).alias("byte_end"),
-            F.when(
+
+    def matches(found: Column, between: Column) -> Column:
+        """Each match with the lengths of it and of the text before it, and the text nearby."""
+        return F.transform(
+            found,
+            lambda match, i: F.struct(
+                match.alias("found"),
+                F.length(F.get(between, i)).alias("gap"),
+                F.length(match).alias("length"),
+                F.octet_length(F.get(between, i)).alias("byte_gap"),
+                F.octet_length(match).alias("byte_length"),
+                F.concat_ws(
+                    " ",
+                    F.right(F.get(between, i), F.lit(NEARBY)),
+                    F.left(F.get(between, i + 1), F.lit(NEARBY)),
+                ).alias("nearby"),
+            ),
+        )
+
+    def spans(placed: Column, ends: Column, byte_ends: Column) -> Column:
+        def span(m: Column, i: Column) -> Column:
+            start = F.get(ends, i) + m["gap"]
+            byte_start = F.get(byte_ends, i) + m["byte_gap"]
+            bonus = F.when(m["nearby"].rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
+            score = F.least(F.lit(1.0), kind.prior + bonus)
+            return F.when(
                 _confirmed(kind, m["found"]),
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        _one(
-                            kind,
-                            acc["end"] + m["gap"],
-                            acc["end"] + m["gap"] + m["length"],
-                            F.least(
-                                F.lit(1.0),
-                                kind.prior
-                                + F.when(m["nearby"].rlike(kind.context), CONTEXT_BONUS).otherwise(0.0),
-                            ),
-                            acc["byte_end"] + m["byte_gap"],
-                            acc["byte_end"] + m["byte_gap"] + m["byte_length"],
-                        )
-                    ),
-                ),
+                _one(kind, start, start + m["length"], score, byte_start, byte_start + m["byte_length"]),
             )
-            .otherwise(acc["spans"])
-            .alias("spans"),
+
+        return F.array_compact(F.transform(placed, span))
+
+    gathered = let(
+        let(between, lambda between: let(found, lambda found: matches(found, between))),
+        lambda placed: let(
+            running(F.transform(placed, lambda m: m["gap"] + m["length"]), _sum),
+            lambda ends: let(
+                running(F.transform(placed, lambda m: m["byte_gap"] + m["byte_length"]), _sum),
+                lambda byte_ends: spans(placed, ends, byte_ends),
+            ),
         ),
-        lambda acc: acc["spans"],
     )
     return F.when(text.rlike(kind.hint), gathered).otherwise(none)
 
@@ -239,7 +289,7 @@ def redact(documents: DataFrame, min_score: float = 0.0, kinds: list[Kind] | Non
     ordered = found.select(
         "__row",
         "__text",
-        F.array_sort(
+        F.sort_array(
             F.transform(
                 spans,
                 lambda s: F.struct(
@@ -250,11 +300,10 @@ def redact(documents: DataFrame, min_score: float = 0.0, kinds: list[Kind] | Non
     )
     # __before: the furthest end before each span, and of all spans. Where none
     # reaches into a span, a run of overlapping spans begins.
-    ends = ordered.select("*", F.transform("__spans", lambda t: t["end"]).alias("__ends")).select(
+    ends = ordered.select(
         "*",
-        F.transform(
-            F.sequence(F.lit(0), F.size("__spans")),
-            lambda i: F.coalesce(F.array_max(F.slice("__ends", F.lit(1), i)), F.lit(0)),
+        running(
+            F.transform("__spans", lambda t: t["end"]), lambda a, b: F.greatest(a, b)
         ).alias("__before"),
     )
     runs = ends.select(
@@ -266,29 +315,33 @@ def redact(documents: DataFrame, min_score: float = 0.0, kinds: list[Kind] | Non
             F.transform("__spans", lambda s, i: F.when(s["start"] >= F.get("__before", i), i))
         ).alias("__starts"),
     )
-    raw = F.encode(F.col("__text"), "UTF-8")
     end_of = lambda i: F.get(
         "__before", F.coalesce(F.get("__starts", i + 1), F.size("__spans"))
     )
-    piece = lambda start, length: F.decode(F.substring(raw, start + 1, length), "UTF-8")
     first = F.get("__spans", F.get("__starts", F.lit(0)))["start"]
-    pieces = F.transform(
-        "__starts",
-        lambda s, i: F.concat(
-            F.lit("<"),
-            F.get("__spans", s)["kind"],
-            F.lit(">"),
-            piece(
-                end_of(i),
-                F.coalesce(
-                    F.get("__spans", F.get("__starts", i + 1))["start"], F.octet_length("__text")
-                )
-                - end_of(i),
+
+    def replaced_in(raw: Column) -> Column:
+        piece = lambda start, length: F.decode(F.substring(raw, start + 1, length), "UTF-8")
+        pieces = F.transform(
+            "__starts",
+            lambda s, i: F.concat(
+                F.lit("<"),
+                F.get("__spans", s)["kind"],
+                F.lit(">"),
+                piece(
+                    end_of(i),
+                    F.coalesce(
+                        F.get("__spans", F.get("__starts", i + 1))["start"], F.octet_length("__text")
+                    )
+                    - end_of(i),
+                ),
             ),
-        ),
-    )
+        )
+        return F.concat(piece(F.lit(0), first), F.array_join(pieces, ""))
+
+    # Bytes bound once: read from the row they would be copied whole for every piece.
     text = F.when(F.size("__spans") == 0, F.col("__row.text")).otherwise(
-        F.concat(piece(F.lit(0), first), F.array_join(pieces, ""))
+        let(F.encode(F.col("__text"), "UTF-8"), replaced_in)
     )
     out = runs.select("__row", text.alias("__new"))
     replaced = {"text": F.col("__new")}
@@ -311,5 +364,12 @@ def span_text(spans: Column, only: list[str] | None = None) -> Column:
     )
 
 
+def score_text(spans: Column) -> Column:
+    """Scores of the spans in hundredths, joined by commas."""
+    return F.array_join(
+        F.transform(spans, lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ","
+    )
+
+
 def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")

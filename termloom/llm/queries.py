@@ -17,7 +17,7 @@ from termloom.llm.minhash import near_copies
 from termloom.llm.mixing import five_two_one, plan_mix, taken_words
 from termloom.llm.neighbours import near_vectors
 from termloom.llm.packing import pack_documents
-from termloom.llm.pii import BASE, count_of, find_pii, span_text
+from termloom.llm.pii import BASE, count_of, find_pii, score_text, span_text
 from termloom.llm.quality import quality_scores, train_quality
 from termloom.llm.rules import quality_rules
 from termloom.llm.token_counts import token_counts
@@ -125,6 +125,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
         *[count_of(spans, kind).alias(f"n_{kind}") for kind in BASE],
         F.sha2(span_text(spans, BASE).cast("binary"), 256).alias("base_sha256"),
         span_text(spans).alias("spans"),
+        score_text(spans).alias("scores"),
     )
 
 

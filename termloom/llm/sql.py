@@ -86,17 +86,36 @@ KINDS = {
 }
 
 
+# Score of each kind without and with a word that goes with it, in hundredths.
+SCORES = {
+    "email": (90, 100, "(?i)mail|contact|write"),
+    "ip": (60, 90, r"(?i)\bip\b|address|server|host"),
+    "card": (70, 100, "(?i)card|visa|credit|payment"),
+    "phone": (60, 90, "(?i)phone|call|tel|mobile|fax"),
+    "iban": (80, 100, "(?i)iban|account|bank|transfer"),
+}
+
+
 def personal_data() -> str:
     found = []
     for number, (kind, (pattern, check)) in enumerate(KINDS.items()):
-        found.append(rf"""SELECT doc_id, {number} AS k, '{kind}' AS kind, start, start + length(m) AS stop
+        low, high, words = SCORES[kind]
+        # An account number's run may be a part of the text that is near another one.
+        near = (
+            "right(gap, 40) || ' ' || left(next_gap, 40)"
+            if kind != "iban"
+            else "right(substr(text, 1, start), 40) || ' ' || substr(text, start + length(m) + 1, 40)"
+        )
+        found.append(rf"""SELECT doc_id, {number} AS k, '{kind}' AS kind, start, start + length(m) AS stop,
+  CASE WHEN regexp_matches({near}, '{words}') THEN {high} ELSE {low} END AS score
 FROM (
-  SELECT doc_id, m, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i)
-    - length(m) AS BIGINT) AS start
+  SELECT doc_id, text, m, gap, next_gap,
+    CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m) AS BIGINT) AS start
   FROM (
-    SELECT doc_id, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap
+    SELECT doc_id, text, generate_subscripts(ms, 1) AS i, unnest(ms) AS m,
+      unnest(gaps[1:len(ms)]) AS gap, unnest(gaps[2:len(ms) + 1]) AS next_gap
     FROM (
-      SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms,
+      SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS ms,
         string_split_regex(text, '{pattern}') AS gaps
       FROM documents WHERE text IS NOT NULL
     )
@@ -104,6 +123,7 @@ FROM (
 ) WHERE {check}""")
     base = len(BASE)
     joined = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY k, start)"
+    scores = "string_agg(CAST(score AS VARCHAR), ',' ORDER BY k, start)"
     counts = ",\n  ".join(
         f"CAST(coalesce(n_{kind}, 0) AS BIGINT) AS n_{kind}" for kind in BASE
     )
@@ -112,12 +132,12 @@ FROM (
 {' UNION ALL '.join(found)}
 ),
 per_document AS (
-  SELECT doc_id, {sums}, {joined} FILTER (WHERE k < {base}) AS base, {joined} AS spans
+  SELECT doc_id, {sums}, {joined} FILTER (WHERE k < {base}) AS base, {joined} AS spans, {scores} AS scores
   FROM found GROUP BY doc_id
 )
 SELECT documents.doc_id,
   {counts},
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM documents LEFT JOIN per_document ON documents.doc_id IS NOT DISTINCT FROM per_document.doc_id"""
 
 

@@ -35,7 +35,7 @@ def test_stages_are_registered():
     ]
     assert registry.queries()["pipeline"] is corpus_pipeline.run
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in queries.queries()]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def test_documents_keep_their_columns(results):

@@ -1,11 +1,14 @@
 """Quality rules and personal data against plain Python."""
 
 import hashlib
+import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from termloom.llm.pii import BASE, KINDS, find_pii, redact, span_text
+from termloom.llm.pii import BASE, KINDS, count_of, find_pii, redact, running, score_text, span_text
 from termloom.llm.queries import op7_quality_rules, op10_pii
 from termloom.llm.rules import Rule, measures, quality_rules
 
@@ -190,3 +193,63 @@ def test_every_kind_has_a_hint_its_matches_hold():
     samples = {"email": "a@b.c", "ip": "1.2.3.4", "card": "42", "phone": "+12", "iban": "GB82WEST12345698765432"}
     for kind in KINDS:
         assert re.search(kind.hint, samples[kind.name])
+
+
+def seconds(table, result):
+    start = time.time()
+    rows = result(table.repartition(1)).collect()
+    return time.time() - start, rows
+
+
+def twice_takes_twice(documents, result, text, check):
+    """Twice the text takes at most about twice the time, besides a fixed part for the job."""
+    seconds(documents([(1, text(1000))]), result)
+    half, _ = seconds(documents([(1, text(1))]), result)
+    full, rows = seconds(documents([(1, text(2))]), result)
+    assert full < 3 * half + 3, (half, full)
+    check(rows[0])
+
+
+def test_rules_of_a_million_spaces(documents):
+    def padded(n):
+        return "word" + " " * (500_000 * n) if n < 1000 else "word  "
+
+    twice_takes_twice(documents, quality_rules, padded, lambda row: row.n_words == 1 or pytest.fail(str(row)))
+
+
+def test_a_hundred_thousand_addresses_in_one_text(documents):
+    def mails(n):
+        return " ".join(f"a{i}@example.org é" for i in range(50_000 * n if n < 1000 else 3))
+
+    def found(table):
+        return find_pii(table).select(F.col("spans").alias("s"), count_of(F.col("spans"), "email").alias("n"))
+
+    text = mails(2)
+
+    def check(row):
+        assert row.n == 100_000
+        for span in (row.s[0], row.s[50_000], row.s[99_999]):
+            assert re.fullmatch(r"a[0-9]+@example\.org", text[span.start : span.end])
+            assert text.encode()[span.byte_start : span.byte_end].decode() == text[span.start : span.end]
+
+    twice_takes_twice(documents, found, mails, check)
+    expected = " ".join("<email> é" for _ in range(100_000))
+    twice_takes_twice(documents, redact, mails, lambda row: row.text == expected or pytest.fail(row.text[:99]))
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 512, 1000])
+def test_running_totals_and_maxima(spark, n):
+    rng = random.Random(n)
+    values = [rng.randint(0, 99) for _ in range(n)]
+    table = spark.createDataFrame([(values,)], "v array<int>")
+    row = table.select(
+        running(F.col("v"), lambda a, b: a + b).alias("sums"), running(F.col("v"), F.greatest).alias("most")
+    ).first()
+    assert row.sums == [sum(values[:i]) for i in range(n + 1)]
+    assert row.most == [max(values[:i], default=0) for i in range(n + 1)]
+
+
+def test_scores_are_listed(documents):
+    rows = [(1, "server 10.0.0.1 and mail a@b.cd"), (2, "x 10.0.0.1"), (3, None)]
+    found = find_pii(documents(rows)).select("doc_id", score_text(F.col("spans")).alias("s")).collect()
+    assert {row.doc_id: row.s for row in found} == {1: "100,90", 2: "60", 3: ""}
