@@ -104,7 +104,7 @@ def test_overlapping_chunks_lose_nothing(spark, size, kind):
 
 
 def test_a_report_with_an_extractor_sees_past_chunk_ends(spark):
-    text = "x" * 9_995 + " Captain Ahab and " + "y" * 9_980 + " Moby Dick"
+    text = "x" * 9_995 + " Captain Ahab and " + "y" * 9_984 + " Moby Dick"
     report = mention_report(documents(spark, text), extractor=names_of(RUN))
     assert counted(report) == {"Captain Ahab": 1, "Moby Dick": 1}
     assert counted(mention_report(documents(spark, text), extractor=names_of(RUN), size=10_000)) == {}
