@@ -161,7 +161,8 @@ def plan_mix(
     for key, number, words in blocks.itertuples(index=False):
         block_sizes[index[key]][number] = words
     rng = np.random.default_rng(seed)
-    draws: list[pd.DataFrame] = []
+    # (source, block, epoch, partial) of every draw.
+    draws: list[tuple[np.ndarray, ...]] = []
     edges: list[tuple[str, int, float]] = []
     for i, key in enumerate(totals["key"]):
         order = rng.permutation(n_blocks[i])
@@ -174,24 +175,31 @@ def plan_mix(
             edges.append((key, int(order[n_whole]), float(rest[i]) - before))
             drawn.append((order[n_whole : n_whole + 1], passes[i], True))
         for which, epoch, partial in drawn:
-            draws.append(pd.DataFrame({"key": key, "block": which, "epoch": epoch, "partial": partial}))
-    table = pd.concat(draws, ignore_index=True) if draws else pd.DataFrame(
-        {"key": [], "block": [], "epoch": [], "partial": []}
+            n = len(which)
+            draws.append((np.full(n, i), which, np.full(n, epoch), np.full(n, partial)))
+    source, drawn_blocks, epochs, partials = (
+        np.concatenate(column) if column else np.zeros(0, np.int64)
+        for column in (list(zip(*draws, strict=True)) or [()] * 4)
     )
 
-    quotas = np.array([int((table["key"] == key).sum()) for key in totals["key"]], np.int64)
+    quotas = np.bincount(source, minlength=len(totals)).astype(np.int64)
     n_shards = shards or min(MAX_SHARDS, max(1, int(-(-targets.sum() // SHARD_WORDS))))
     tree = splitting_tree(quotas, n_shards, rng) if len(quotas) else np.zeros((n_shards, 0), np.int64)
-    shuffled = table.iloc[rng.permutation(len(table))].copy()
-    shuffled["shard"] = 0
-    for i, (_, rows) in enumerate((key, np.flatnonzero(shuffled["key"] == key)) for key in totals["key"]):
-        shuffled.iloc[rows, shuffled.columns.get_loc("shard")] = np.repeat(np.arange(n_shards), tree[:, i])
-
+    # Each source's draws in an order by chance, cut end to end into the shards' parts.
+    permuted = rng.permutation(len(source))
+    permuted = permuted[np.argsort(source[permuted], kind="stable")]
+    shard = np.tile(np.arange(n_shards), len(totals)).repeat(tree.T.ravel())
+    keys = totals["key"].tolist()
     rows = spark.createDataFrame(
         list(
-            shuffled[["key", "block", "epoch", "shard", "partial"]]
-            .astype({"key": object})
-            .itertuples(index=False, name=None)
+            zip(
+                [keys[i] for i in source[permuted].tolist()],
+                drawn_blocks[permuted].tolist(),
+                epochs[permuted].tolist(),
+                shard.tolist(),
+                partials[permuted].astype(bool).tolist(),
+                strict=True,
+            )
         ),
         "key string, block long, epoch int, shard int, partial boolean",
     )
@@ -332,29 +340,37 @@ def _nearer(
 
 def mixed_documents(documents: DataFrame, mix: Mix) -> DataFrame:
     """The documents once per draw, shard after shard, in random order within a shard."""
+    # Packed, so that no column of the documents can have a name that is used here.
     columns = [F.col(f"`{name}`") for name in documents.columns]
-    drawn = mix.find(documents).select(*columns, "__hash", F.explode("__draws").alias("__draw"))
-    placed = drawn.withColumns(
-        {
-            "__shard": F.col("__draw.shard"),
-            "__order": F.xxhash64(F.lit(mix.seed), "__draw.epoch", "__hash"),
-        }
-    ).drop("__draw")
-    ranged = placed.repartitionByRange("__shard", "__order").sortWithinPartitions("__shard", "__order")
-    return ranged.select(*columns)
+    packed = documents.select("doc_id", "source", "text", F.struct(*columns).alias("document"))
+    drawn = mix.find(packed).select("document", "__hash", F.explode("__draws").alias("draw"))
+    order = F.xxhash64(F.lit(mix.seed), "draw.epoch", "__hash")
+    placed = drawn.select("document", F.col("draw.shard").alias("shard"), order.alias("order"))
+    ranged = placed.repartitionByRange("shard", "order").sortWithinPartitions("shard", "order")
+    return ranged.select("document.*")
 
 
 def taken_words(documents: DataFrame, mix: Mix, size: Callable[[str], Column] = word_count) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document."""
+    """(doc_id, size, source_size, target, taken, shards) of every document.
+
+    ``shards`` lists where the tree put the document's copies, one number for each.
+    """
     sized = mix.find(documents.select("doc_id", "source", "text"))
     words = sized.select(
         "doc_id",
         size("text").alias("size"),
         F.col("__source_size").alias("source_size"),
         F.col("__target").alias("target"),
-        F.size("__draws").alias("copies"),
+        F.transform("__draws", lambda draw: draw["shard"]).alias("shards"),
+    )
+    return words.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.aggregate("shards", F.lit(0).cast("bigint"), lambda total, _: total + F.col("size")).alias("taken"),
+        F.array_join(F.sort_array("shards").cast("array<string>"), ",").alias("shards"),
     )
-    return words.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def five_two_one(position: int, source: str | None) -> float:

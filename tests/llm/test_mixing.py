@@ -1,10 +1,12 @@
 """Mixing: targets, quotas, and what is taken, against plain Python."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from termloom.llm.mixing import (
     five_two_one,
@@ -101,14 +103,55 @@ def test_mix_of_nothing(documents):
     assert mixed_documents(table, mix).count() == 0 and taken_words(table, mix).count() == 0
 
 
-@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
+def test_shards_are_those_of_the_mixed_rows(documents, clashing):
+    """Where copies lie in the mixed table is what the plan says, and shards are about alike."""
+    table = clashing(documents(ROWS))
+    mix = plan_mix(table, five_two_one, 1.5, shards=4)
+    planned = Counter()
+    for row in taken_words(table, mix).collect():
+        shards = [int(shard) for shard in row.shards.split(",") if shard]
+        assert shards == sorted(shards) and len(shards) * row.size == row.taken
+        planned.update((row.doc_id, shard) for shard in shards)
+    drawn = mix.find(table).select("doc_id", F.explode("__draws").alias("draw")).select("doc_id", "draw.shard")
+    assert planned == Counter((row.doc_id, row.shard) for row in drawn.collect())
+    sizes = Counter()
+    for (_, shard), n in planned.items():
+        sizes[shard] += n
+    assert set(sizes) == set(range(4)) and max(sizes.values()) < 1.5 * min(sizes.values())
+
+
+def test_columns_named_like_those_used_inside(documents):
+    """No column of the input is changed, whatever its name."""
+    table = documents([(i, f"one two three {i}", None, "s") for i in range(6)])
+    for name in ("__hash", "__key", "__draws", "__all", "document", "shard", "order", "draw"):
+        table = table.withColumn(name, F.lit("own"))
+    mixed = mixed_documents(table, plan_mix(table, five_two_one, 1.5))
+    assert mixed.columns == table.columns
+    rows = mixed.collect()
+    assert rows and all(row[name] == "own" for row in rows for name in table.columns[5:])
+
+
+def test_a_plan_of_very_many_sources(documents):
+    """Draws are dealt in one pass, however many sources there are."""
+    rows = [(i, "one two three", None, f"source {i}") for i in range(3000)]
+    start = time.time()
+    mix = plan_mix(documents(rows), five_two_one, 1.5)
+    assert time.time() - start < 60
+    assert len(mix.sources) == 3000
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_query(spark, sf):
     rows = op1_mixing(spark, sf).collect()
     texts = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    taken, target = Counter(), {}
+    taken, target, longest = Counter(), {}, Counter()
     for row in rows:
+        source = texts[row.doc_id].source
         assert row.size == len(re.findall(r"[^\x20\x09-\x0D]+", texts[row.doc_id].text or ""))
         assert row.taken <= 2 * row.size
-        taken[texts[row.doc_id].source] += row.taken
-        target[texts[row.doc_id].source] = row.target
+        taken[source] += row.taken
+        target[source] = row.target
+        longest[source] = max(longest[source], row.size)
     assert abs(sum(taken.values()) / sum(target.values()) - 1) < 0.03
+    for source, goal in target.items():
+        assert abs(taken[source] - goal) <= max(0.02 * goal, longest[source] / 2), source
