@@ -189,3 +189,37 @@ def test_kneser_ney_against_plain_counts(spark, monkeypatch, listed_from):
             got = model.evidence(f"{v} {w}", ids)[0] * 2 - model.evidence(v, ids)[0]
             expected = np.log(probability(1, v, w) / probability(0, v, w))
             assert np.isclose(got, expected), (v, w)
+
+
+def test_quality_query_against_the_model_in_plain_python(spark):
+    """Every row's score once more, from the features of its text."""
+    sf = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.train_quality(
+        documents.filter("crc32(cast(doc_id as string)) % 3 != 1"), spark.read.parquet(f"{sf}/labels.parquet")
+    )
+    rows = {row.doc_id: row for row in op5_quality(spark, sf).collect()}
+    for row in documents.select("doc_id", "text").collect():
+        features = np.array([quality.text_features(row.text or "")])
+        z = 4 * np.tanh((features - model.mean) / model.scale / 4)
+        score = 1 / (1 + np.exp(-np.clip(z @ model.weights - model.threshold, -500, 500)))[0]
+        assert np.isclose(rows[row.doc_id].score, score)
+        assert rows[row.doc_id].predicted == int(rows[row.doc_id].score >= 0.5)
+
+
+def test_language_query_against_the_net_window_by_window(spark):
+    """Every row's answer once more, from the probabilities of its whole text."""
+    sf = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    net = language.train_language(
+        documents.filter("crc32(cast(doc_id as string)) % 5 != 0").select("doc_id", "text", "lang")
+    )
+    rows = {row.doc_id: row for row in op2_language(spark, sf).collect()}
+    for row in documents.select("doc_id", "text").collect():
+        got = rows[row.doc_id]
+        if not any(char.isalpha() for char in row.text or ""):
+            assert (got.lang_pred, got.score) == ("und", 0.0)
+            continue
+        odds = net.probabilities(row.text.encode())
+        assert np.isclose(got.score, odds.max(), atol=1e-4)
+        assert np.isclose(odds[net.languages.index(got.lang_pred)], odds.max(), atol=1e-4)
