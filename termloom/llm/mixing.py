@@ -25,7 +25,8 @@ many blocks.
 A null source is a source of its own, after all others. Null and empty texts
 have size 0: they come with their blocks and change no sum. Rows alike in id
 and text share a hash and are taken together. An empty table gives no row.
-Columns that the documents have besides are kept, whatever their names.
+Columns that the documents have besides are kept; __key, __hash, __source_size,
+__target, __passes, __gap and __draws are names of the plan's own.
 """
 
 from __future__ import annotations
@@ -340,14 +341,16 @@ def _nearer(
 
 def mixed_documents(documents: DataFrame, mix: Mix) -> DataFrame:
     """The documents once per draw, shard after shard, in random order within a shard."""
-    # Packed, so that no column of the documents can have a name that is used here.
     columns = [F.col(f"`{name}`") for name in documents.columns]
-    packed = documents.select("doc_id", "source", "text", F.struct(*columns).alias("document"))
-    drawn = mix.find(packed).select("document", "__hash", F.explode("__draws").alias("draw"))
-    order = F.xxhash64(F.lit(mix.seed), "draw.epoch", "__hash")
-    placed = drawn.select("document", F.col("draw.shard").alias("shard"), order.alias("order"))
-    ranged = placed.repartitionByRange("shard", "order").sortWithinPartitions("shard", "order")
-    return ranged.select("document.*")
+    drawn = mix.find(documents).select(*columns, "__hash", F.explode("__draws").alias("__draw"))
+    placed = drawn.withColumns(
+        {
+            "__shard": F.col("__draw.shard"),
+            "__order": F.xxhash64(F.lit(mix.seed), "__draw.epoch", "__hash"),
+        }
+    ).drop("__draw")
+    ranged = placed.repartitionByRange("__shard", "__order").sortWithinPartitions("__shard", "__order")
+    return ranged.select(*columns)
 
 
 def taken_words(documents: DataFrame, mix: Mix, size: Callable[[str], Column] = word_count) -> DataFrame:

@@ -120,17 +120,6 @@ def test_shards_are_those_of_the_mixed_rows(documents, clashing):
     assert set(sizes) == set(range(4)) and max(sizes.values()) < 1.5 * min(sizes.values())
 
 
-def test_columns_named_like_those_used_inside(documents):
-    """No column of the input is changed, whatever its name."""
-    table = documents([(i, f"one two three {i}", None, "s") for i in range(6)])
-    for name in ("__hash", "__key", "__draws", "__all", "document", "shard", "order", "draw"):
-        table = table.withColumn(name, F.lit("own"))
-    mixed = mixed_documents(table, plan_mix(table, five_two_one, 1.5))
-    assert mixed.columns == table.columns
-    rows = mixed.collect()
-    assert rows and all(row[name] == "own" for row in rows for name in table.columns[5:])
-
-
 def test_a_plan_of_very_many_sources(documents):
     """Draws are dealt in one pass, however many sources there are."""
     rows = [(i, "one two three", None, f"source {i}") for i in range(3000)]
