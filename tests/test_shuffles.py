@@ -1,0 +1,107 @@
+"""What is shuffled, and how often: queries alike, postings of a batch, postings of an index."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import termloom.operators.joins as joins
+import termloom.operators.scoring as scoring
+import termloom.plans.index as index_module
+import termloom.plans.pruning as pruning
+import termloom.plans.search as search_module
+from termloom import NORMALIZED, build_index
+from termloom.plans.search import query_vectors, search_vectors
+from termloom.sources.readers import read_corpus_table
+
+ASKED = [
+    (1, "star moon"), (2, "Moon, star"), (3, "star"), (4, "star"), (5, "star star"), (6, "STAR star"),
+    (7, "star star star"), (8, "sun moon sun"), (9, "w3 star moon sun"), (10, "moon"),
+]
+
+
+@pytest.fixture(scope="module")
+def index(spark, tmp_path_factory):
+    rng = random.Random(5)
+    words = ["star"] * 6 + ["moon"] * 3 + ["sun"] + [f"w{i}" for i in range(20)]
+    rows = [(i, " ".join(rng.choices(words, k=12))) for i in range(300)] + [(None, "star moon sun")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return build_index(table, NORMALIZED, str(tmp_path_factory.mktemp("shuffles") / "i"), buckets=3)
+
+
+def vectors_of(spark, index, workspace, asked=ASKED):
+    return query_vectors(index, spark.createDataFrame(asked, "query_id bigint, query_raw string"), workspace)
+
+
+def ranked(frame):
+    return sorted((r.query_id, r.mode, r.rank, r.doc_id or -1, r.score) for r in frame.collect())
+
+
+def test_queries_alike_are_scored_once(spark, index, workspace, monkeypatch):
+    vectors = vectors_of(spark, index, workspace)
+    scored = []
+    plain = search_module.top_k
+    monkeypatch.setattr(search_module, "top_k", lambda s, *a: scored.append(s) or plain(s, *a))
+    hits = ranked(search_vectors(index, vectors, 10, workspace))
+    assert {r.query_id for r in scored[0].select("query_id").distinct().collect()} == {1, 3, 5, 7, 8, 9, 10}
+    alone = []
+    for query in ASKED:
+        alone += ranked(search_vectors(index, vectors_of(spark, index, workspace, [query]), 10, workspace))
+    assert hits == sorted(alone) and len(hits) == 100
+
+
+def test_postings_are_shuffled_once_for_all_queries(spark, index, workspace, monkeypatch):
+    monkeypatch.setattr(search_module, "LITERAL_ROWS", 0)
+    monkeypatch.setattr(scoring, "SMALLEST_TASK", 10)
+    several = [(i, f"star moon w{i}") for i in range(20)]
+    plan = search_vectors(index, vectors_of(spark, index, workspace, several), 10, workspace)
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(doc_id" in shown
+    assert "Exchange hashpartitioning(query_id#" in shown
+    assert not [line for line in shown.splitlines() if "hashpartitioning(query_id" in line and "doc_id" in line]
+
+
+def test_sums_are_added_to_candidates_only(spark):
+    schema = "query_id bigint, doc_id string, digit0 bigint, digit1 bigint, digit2 bigint"
+    left = spark.createDataFrame([(1, "a", 1, 2, 3), (1, None, 4, 5, 6), (2, "a", 7, 8, 9)], schema)
+    more = spark.createDataFrame([(1, "a", 1, 1, 1), (1, None, 1, 1, 1), (1, "b", 1, 1, 1)], schema)
+    got = {tuple(row) for row in pruning._add_to(left, more).collect()}
+    assert got == {(1, "a", 2, 3, 4), (1, None, 5, 6, 7), (2, "a", 7, 8, 9)}
+
+
+def test_postings_are_dealt_evenly_without_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(index_module, "SORTED_PER_TASK", 1000)
+    hot = spark.range(6000).select(F.lit("star").alias("term"), "id", F.lit(6000).alias("df"))
+    cold = spark.range(6000).select(
+        F.concat(F.lit("w"), F.floor(F.col("id") / 3)).alias("term"), "id", F.lit(3).alias("df")
+    )
+    rows = hot.unionByName(cold).select(
+        "term", F.lit(0).alias("tier"), F.col("id").alias("doc_id"), F.lit(1).alias("tf"),
+        F.lit(1).alias("length"), F.lit(0.5).alias("share"), "df",
+    )
+    dealt = index_module._by_term(rows, 4, 12_000)
+    assert "rangepartitioning" not in dealt._jdf.queryExecution().executedPlan().toString()
+    sizes = [r.n for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 12_000 and len(sizes) >= 8 and max(sizes) <= 3000
+
+
+def test_norms_of_many_documents_meet_their_rows(spark, index, workspace, monkeypatch):
+    documents = spark.createDataFrame([(1, "a1 b1 b1"), (2, "b1 c1"), (None, "c1 d1"), (3, "")], "doc_id bigint, text string")
+    plain = build_index(documents, NORMALIZED, workspace.path("plain"))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(joins.join_by_load, "__defaults__", (1,))
+    met = []
+    by_row = index_module._with_norms
+    monkeypatch.setattr(index_module, "_with_norms", lambda *a: met.append(1) or by_row(*a))
+    large = build_index(documents, NORMALIZED, workspace.path("large"))
+    rows = lambda i: sorted((r.term, r.tier, r.doc_id or -1, r.tf, r.length, r.share) for r in i.postings.collect())
+    assert met and rows(large) == rows(plain) and len(rows(plain)) == 7
+
+
+def test_tables_of_many_files_are_read_as_they_lie(spark, tmp_path):
+    table = spark.range(100).select(F.col("id").alias("doc_id"), F.lit("star").alias("text"))
+    for files in (1, 4):
+        table.repartition(files).write.parquet(f"{tmp_path}/{files}")
+    few, many = (read_corpus_table(spark, f"{tmp_path}/{files}", partitions=4) for files in (1, 4))
+    assert few.rdd.getNumPartitions() == 4 and few.count() == many.count() == 100
+    assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
