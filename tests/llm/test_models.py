@@ -223,3 +223,33 @@ def test_language_query_against_the_net_window_by_window(spark):
         odds = net.probabilities(row.text.encode())
         assert np.isclose(got.score, odds.max(), atol=1e-4)
         assert np.isclose(odds[net.languages.index(got.lang_pred)], odds.max(), atol=1e-4)
+
+
+@pytest.mark.parametrize("most", [(20, 30), (10_000, 30), (20, 100_000)])
+def test_toxicity_does_not_depend_on_what_is_listed(spark, documents, monkeypatch, most):
+    """Words and pairs beyond the bounds of the broadcast are looked up, and score the same."""
+    rng = np.random.default_rng(6)
+    names = [a + b + c for a in "bdkm" for b in "aeiou" for c in "lnrst"]
+    rows = []
+    for i in range(300):
+        picked = np.minimum(rng.zipf(1.3, 40), len(names)) - 1
+        words = [names[(w * 7 + 31 * (i % 3 == 0)) % len(names)] for w in picked]
+        rows.append((i + 1000, " ".join(words[:20]) + "\n" + " ".join(words[20:]), "aa", "s"))
+    rows += [(5000 + i, text, "aa", "s") for i, text in enumerate([None, "", "unseen words", rows[0][1], rows[0][1]])]
+    table = documents(rows)
+    labels = table.filter("doc_id < 5000").selectExpr("doc_id", "cast(doc_id % 3 = 1 as int) toxic")
+
+    def scored():
+        model = toxicity.train_toxicity(table, labels)
+        found = toxicity.toxicity_scores(table, model)
+        assert found.columns == [*table.columns, "score"]
+        return model, {row.doc_id: row.score for row in found.collect()}
+
+    whole, expected = scored()
+    assert whole.rest is None and len(whole.words) > 50 and len(whole.pairs) > 100
+    monkeypatch.setattr(toxicity, "MAX_WORDS", most[0])
+    monkeypatch.setattr(toxicity, "MAX_PAIRS", most[1])
+    model, got = scored()
+    assert len(model.words) <= most[0] and len(model.pairs) <= most[1] and model.rest.count()
+    assert got.keys() == expected.keys()
+    assert np.allclose([got[i] for i in expected], list(expected.values()), rtol=1e-9, atol=1e-12)
