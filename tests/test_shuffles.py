@@ -105,3 +105,14 @@ def test_tables_of_many_files_are_read_as_they_lie(spark, tmp_path):
     few, many = (read_corpus_table(spark, f"{tmp_path}/{files}", partitions=4) for files in (1, 4))
     assert few.rdd.getNumPartitions() == 4 and few.count() == many.count() == 100
     assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pruned_sums_are_dealt_by_their_load(spark, monkeypatch):
+    """As many tasks as the matches need, whatever the partitions of a shuffle."""
+    monkeypatch.setattr(scoring, "MATCHES_PER_TASK", 100)
+    monkeypatch.setattr(scoring, "SMALLEST_TASK", 100)
+    twice = spark.range(1000).selectExpr("id % 10 query_id", "id doc_id", "id digit0", "0L digit1", "1L digit2")
+    twice = twice.unionByName(twice)
+    summed = scoring.add_up(scoring.dealt_by_document(twice, 2000))
+    assert summed.rdd.getNumPartitions() == 20
+    assert {(r.doc_id, r.digit0, r.digit2) for r in summed.collect()} == {(i, 2 * i, 2) for i in range(1000)}
