@@ -1,5 +1,6 @@
 """What is shuffled, and how often: queries alike, postings of a batch, postings of an index."""
 
+import dataclasses
 import random
 
 import pytest
@@ -116,3 +117,37 @@ def test_pruned_sums_are_dealt_by_their_load(spark, monkeypatch):
     summed = scoring.add_up(scoring.dealt_by_document(twice, 2000))
     assert summed.rdd.getNumPartitions() == 20
     assert {(r.doc_id, r.digit0, r.digit2) for r in summed.collect()} == {(i, 2 * i, 2) for i in range(1000)}
+
+
+def weighed(rows):
+    return sorted((r.doc_id or -1, r.term, r.tf, r.length, r.df, r.idf, r.weight) for r in rows.collect())
+
+
+@pytest.mark.parametrize("ids", ["alone", "again"])
+def test_weights_are_read_without_a_shuffle(spark, workspace, monkeypatch, ids):
+    """Also those of terms that many tasks share, in a table beyond the broadcast bound."""
+    rows = [(i, f"star moon m{i % 7} w{i}") for i in range(200)] + [(None, "star star moon"), (300, "the")]
+    rows += [(5, "star sun")] if ids == "again" else []
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain = build_index(documents, NORMALIZED, workspace.path("plain"), buckets=3)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(joins.join_by_load, "__defaults__", (3,))
+    monkeypatch.setattr(index_module, "SORTED_PER_TASK", 40)
+    large = build_index(documents, NORMALIZED, workspace.path("large"), buckets=3)
+    joined = index_module._weigh(large.counts(), large.terms, NORMALIZED, large.stats.n_postings, large.term_size)
+    assert weighed(large.weights()) == weighed(joined) == weighed(plain.weights())
+    assert "Exchange" not in large.weights()._jdf.queryExecution().executedPlan().toString()
+    older = dataclasses.replace(large, stats=dataclasses.replace(large.stats, posting_df=None))
+    assert weighed(older.weights()) == weighed(joined)
+
+
+def test_postings_are_weighed_where_they_are_sorted(spark, workspace, monkeypatch):
+    """Terms beyond the broadcast bound meet the postings once, for the norms."""
+    documents = spark.createDataFrame([(i, f"star w{i}") for i in range(50)], "doc_id bigint, text string")
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(joins.join_by_load, "__defaults__", (3,))
+    met = []
+    plain = index_module.join_by_load
+    monkeypatch.setattr(index_module, "join_by_load", lambda *a: met.append(a[2]) or plain(*a))
+    build_index(documents, NORMALIZED, workspace.path("i"))
+    assert met == ["term"]
