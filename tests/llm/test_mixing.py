@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from termloom.llm.common import driver_table
 from termloom.llm.mixing import (
     five_two_one,
     mixed_documents,
@@ -144,3 +145,22 @@ def test_query(spark, sf):
     assert abs(sum(taken.values()) / sum(target.values()) - 1) < 0.03
     for source, goal in target.items():
         assert abs(taken[source] - goal) <= max(0.02 * goal, longest[source] / 2), source
+
+
+def test_plan_needs_no_python_workers(spark, documents):
+    """What the driver plans reaches the executors as local rows, not as pickled ones."""
+    table = documents([(i, "word " * (i % 9), None, f"s{i % 3}") for i in range(60)] + [(60, "x", None, None)])
+    mix = plan_mix(table, five_two_one, 1.5)
+    for result in (mixed_documents(table, mix), taken_words(table, mix)):
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        # The rows of the test itself are the one table of that kind.
+        assert plan.count("LogicalRDD") == 1 and "LocalRelation" in plan
+
+
+def test_a_table_of_the_driver_keeps_its_rows(spark):
+    rows = [("nä", 2**40, 1, 0.5, True), ("s", -1, 2, 1e300, False)]
+    schema = "key string, a long, b int, c double, d boolean"
+    table = driver_table(spark, rows, schema)
+    assert [tuple(row) for row in table.collect()] == rows
+    assert table.dtypes == spark.createDataFrame(rows, schema).dtypes
+    assert driver_table(spark, [], schema).collect() == []

@@ -1,22 +1,27 @@
 """The pipeline stage by stage against plain Python, and the SQL of the native queries."""
 
+import os
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.util import PythonEvalType
 
 import __spark_entry__ as registry
 import corpus_pipeline
 from oracle_check import compare, duck
 from termloom.llm import queries
-from termloom.llm.quality import N_FEATURES, text_features, train_quality
+from termloom.llm.quality import N_FEATURES, quality_scores, text_features, train_quality
 from termloom.llm.tokens import Encoder
 from termloom.plans.workspace import Workspace
 from test_near_copies import brute_components
 from test_rules_pii import brute_spans
 
 SF = "/root/testdata/sf0.001"
+REPO = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +114,19 @@ def test_packing_stage(spark, results):
 @pytest.mark.parametrize("name", ["op7_quality_rules", "op10_pii"])
 def test_native_queries_equal_their_sql(spark, name):
     assert compare(spark, duck(SF), SF, queries.queries()[name], registry.oracle_sql()[name]) == ""
+
+
+def test_workers_of_the_pipeline_need_no_pandas():
+    """What a Python worker of any stage imports; pandas would be 30 MB of each worker."""
+    modules = ", ".join(f"termloom.llm.{name}" for name in ("quality", "minhash", "pii", "mixing", "packing"))
+    code = f"import sys, pyspark.worker, {modules}; print('pandas' in sys.modules)"
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=REPO, check=True)
+    assert run.stdout.strip() == "False"
+
+
+def test_quality_is_scored_without_pandas(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = train_quality(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    plan = quality_scores(docs, model)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "score" in plan
+    assert f"], {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in plan

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path
 from tokenizers import Tokenizer
@@ -168,3 +169,13 @@ def test_token_counts_query(spark):
     for row in rows:
         sums.setdefault((row.doc_id, row.doc_tokens), []).append(row.n_tokens)
     assert all(sum(parts) == total for (_, total), parts in sums.items())
+
+
+def test_packed_pieces_come_in_small_batches():
+    """A batch of full windows is a few MB, however many a round has."""
+    ids = np.arange(packing.WINDOW, dtype="<u4")
+    pieces = [(pa.scalar(i), 0, ids, packing.WINDOW) for i in range(3000)]
+    batches = list(packing._packed(pieces, packing.WINDOW, 0, pa.field("doc_id", pa.int64())))
+    assert sum(batch.num_rows for batch in batches) == 3000
+    assert max(batch.nbytes for batch in batches) < 5_000_000
+    assert [i for batch in batches for i in batch.column("doc_id").to_pylist()] == list(range(3000))
