@@ -267,3 +267,26 @@ def test_vectors_in_blocks(spark, workspace, profile):
 
 def test_sums_hold_the_shares_of_a_long_query():
     assert SHARES.top - 32 * SHARES.n <= -80
+
+
+ONE_TERM = [(i, f"c{i} c{i}") for i in range(8)] + [(20, "r5 r5"), (21, "c0 unknown"), (None, "c1 c1 c1"), (22, "no such")]
+
+
+@PROFILES
+@pytest.mark.parametrize("k", [1, 3, 10, 400])
+def test_cosines_of_one_term_need_its_best_tiers(spark, tiered, workspace, profile, k):
+    index = tiered[profile.name]
+    vectors = asked(spark, index, workspace, ONE_TERM).filter("df > 0 and qweight > 0")
+    size = joins.measure(vectors, "term", "query_id")
+    every = search_module._matches(index, vectors, size)
+    whole = top_k(scores_of(cosine_parts(every, profile)), k, profile)
+    got = search_vectors(index, vectors, k, workspace).select(whole.columns)
+    key = lambda row: (row[0] is None, *map(str, row[:3]), row[3] or "")
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key)
+    met = search_module.best_tiers(index, vectors, k, size)
+    kept = search_module._matches(index, met, size, None, search_module.TIER_KEYS).count()
+    assert kept == met.agg(F.sum("df")).first()[0]
+    if k == 1:
+        assert kept < every.count() / 2
+    if k == 400:
+        assert kept == every.count()
